@@ -1,0 +1,51 @@
+"""Features over a stream's history that need the last rows of each key.
+
+Row windows such as lag or a 20-row mean are not allowed on a stream itself.
+Here each micro-batch is joined by the last ``back`` rows of its keys, kept in
+a state table, and the batch operator does the rest. State is written per batch,
+with a full copy every ``SNAPSHOT_EVERY`` batches to keep reads short. Unlike
+per-key Python state, a busy key's batch is split over tasks.
+
+Batches must arrive in time order; inside a batch any order will do.
+"""
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from fleetspan.operators.history import Features, over_history
+from fleetspan.streaming.feed import write_batch
+
+SNAPSHOT_EVERY = 20
+
+
+class TailState:
+    def __init__(self, path: str, keys: list[str], order: str, back: int):
+        self.path, self.keys, self.order, self.back = path, keys, order, back
+
+    def _last_rows(self, df: DataFrame) -> DataFrame:
+        newest = Window.partitionBy(*self.keys).orderBy(F.col(self.order).desc())
+        return df.withColumn("_nth", F.row_number().over(newest)).where(F.col("_nth") <= self.back).drop("_nth")
+
+    def before(self, spark: SparkSession, batch_id: int, schema) -> DataFrame | None:
+        """The last rows of every key as left by earlier batches."""
+        if batch_id == 0:
+            return None
+        first = (batch_id - 1) // SNAPSHOT_EVERY * SNAPSHOT_EVERY
+        paths = [f"{self.path}/batch={b}" for b in range(first, batch_id)]
+        return self._last_rows(spark.read.schema(schema).parquet(*paths))
+
+    def apply(self, batch: DataFrame, batch_id: int, features: Features, block: F.Column) -> DataFrame:
+        """Feature columns for the batch's own rows; also saves the new state."""
+        schema = batch.schema
+        earlier = self.before(batch.sparkSession, batch_id, schema)
+        rows = batch.withColumn("_new", F.lit(True))
+        if earlier is not None:
+            touched = batch.select(*self.keys).distinct()
+            context = earlier.join(touched, self.keys, "left_semi")
+            rows = rows.unionByName(context.withColumn("_new", F.lit(False)))
+        everything = rows.drop("_new")
+        if batch_id % SNAPSHOT_EVERY == 0 and earlier is not None:
+            everything = batch.unionByName(earlier)
+        write_batch(self._last_rows(everything), self.path, batch_id)
+        out = over_history(rows, features, self.back, keys=self.keys, order=self.order, block=block)
+        return out.where("_new").drop("_new")
