@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetspan import constants as C
 from fleetspan.functions import health
 from fleetspan.operators import lives
+from fleetspan.operators.sets import union_all
 
 
 def _stack(columns: dict[str, list[Column]], names: list[str]) -> Column:
@@ -80,8 +81,6 @@ def sensor_profile_union(
     readings: DataFrame, sensors: tuple[str, ...] = C.PROFILE_SENSORS, digits: int = 4
 ) -> DataFrame:
     """The same report as one aggregate per sensor, concatenated."""
-    from fleetspan.operators.sets import union_all
-
     return union_all(
         [
             readings.groupBy("dataset").agg(
@@ -115,63 +114,87 @@ def rul_stats(readings: DataFrame, rows_per_engine: int | None = None) -> DataFr
     )
 
 
-_CROSS_SCHEMA = "a int, b int, n double, sx double, sy double, sxx double, syy double, sxy double"
+_PAIR_SCHEMA = "a int, b int, n double, mx double, my double, cxx double, cyy double, cxy double"
 
 
-def _cross_moments(columns: list[str], centre: list[float]):
-    """Per task: pairwise counts and sums of products around a common centre."""
+def _pair_moments_of_task(columns: list[str]):
+    """Counts, means and centred products of all column pairs, over one task's rows."""
 
     def accumulate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
+        centre = total = None
         for batch in batches:
-            x = batch[columns].to_numpy(dtype=float) - np.array(centre)
+            if batch.empty:
+                continue
+            x = batch[columns].to_numpy(dtype=float)
+            if centre is None:
+                centre = np.nan_to_num(batch[columns].astype(float).mean().to_numpy())
             known = ~np.isnan(x)
-            x = np.where(known, x, 0.0)
+            x = np.where(known, x - centre, 0.0)
             k = known.astype(float)
             sx, sxx = x.T @ k, (x * x).T @ k
             part = np.stack([k.T @ k, sx, sx.T, sxx, sxx.T, x.T @ x])
             total = part if total is None else total + part
-        if total is not None:
-            a, b = np.indices(total.shape[1:])
-            cells = [a.ravel(), b.ravel(), *[m.ravel() for m in total]]
-            names = ["a", "b", "n", "sx", "sy", "sxx", "syy", "sxy"]
-            yield pd.DataFrame(dict(zip(names, cells)))
+        if total is None:
+            return
+        n, sx, sy, sxx, syy, sxy = total
+        rows = np.maximum(n, 1.0)
+        a, b = np.indices(n.shape)
+        cells = {
+            "a": a,
+            "b": b,
+            "n": n,
+            "mx": centre[:, None] + sx / rows,
+            "my": centre[None, :] + sy / rows,
+            "cxx": sxx - sx * sx / rows,
+            "cyy": syy - sy * sy / rows,
+            "cxy": sxy - sx * sy / rows,
+        }
+        yield pd.DataFrame({name: matrix.ravel() for name, matrix in cells.items()})
 
     return accumulate
 
 
-def correlation_matrix(df: DataFrame, columns: list[str] = C.SENSORS, digits: int = 2) -> DataFrame:
-    """Pearson r of every column pair in long form, constant columns left out.
+def pair_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(sensor_a, sensor_b, r) of every column pair, constant columns left out.
 
-    Each task reduces its rows to one small matrix of cross moments with matrix
+    Each task reduces its rows to one small matrix of moments with matrix
     products, and only those are exchanged: columns squared rows per task. A
     missing value drops a row from the pairs it concerns, not from the others.
     """
     columns = list(columns)
-    # One row of means, subtracted so that sums of squares stay accurate.
-    means = df.agg(*[F.coalesce(F.avg(c), F.lit(0.0)) for c in columns]).first()
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    pairs = (
-        values.mapInPandas(_cross_moments(columns, list(means)), _CROSS_SCHEMA)
+    n, mx, my = F.col("n"), F.col("mx"), F.col("my")
+    merged = (
+        values.mapInPandas(_pair_moments_of_task(columns), _PAIR_SCHEMA)
         .groupBy("a", "b")
-        .agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+        .agg(
+            F.sum(n).alias("rows"),
+            F.sum(n * mx).alias("sx"),
+            F.sum(n * my).alias("sy"),
+            F.sum(F.col("cxx") + n * mx * mx).alias("sxx"),
+            F.sum(F.col("cyy") + n * my * my).alias("syy"),
+            F.sum(F.col("cxy") + n * mx * my).alias("sxy"),
+        )
+        .where("rows > 1")
     )
-    n = F.col("n")
-    spread_a = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), n)
-    spread_b = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), n)
-    joint = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
-    least = F.lit(C.CONSTANT_BELOW_STD**2) * (n - 1)
+    rows, sx, sy = F.col("rows"), F.col("sx"), F.col("sy")
+    spread_a = F.col("sxx") - sx * sx / rows
+    spread_b = F.col("syy") - sy * sy / rows
+    joint = F.col("sxy") - sx * sy / rows
+    least = F.lit(C.CONSTANT_BELOW_STD**2) * (rows - 1)
     names = F.array(*[F.lit(c) for c in columns])
-    return (
-        pairs.where((n > 1) & (spread_a >= least) & (spread_b >= least))
-        .select(
-            names[F.col("a")].alias("sensor_a"),
-            names[F.col("b")].alias("sensor_b"),
-            F.round(joint / F.sqrt(spread_a * spread_b), digits).alias("r"),
-        )
+    return merged.where((spread_a >= least) & (spread_b >= least)).select(
+        names[F.col("a")].alias("sensor_a"),
+        names[F.col("b")].alias("sensor_b"),
+        (joint / F.sqrt(spread_a * spread_b)).alias("r"),
     )
 
 
+def correlation_matrix(df: DataFrame, columns: list[str] = C.SENSORS, digits: int = 2) -> DataFrame:
+    """Pearson r of the useful sensors in long form."""
+    return pair_correlations(df, columns).withColumn("r", F.round("r", digits))
+
+
 def correlated_pairs(matrix: DataFrame, min_r: float = 0.9) -> DataFrame:
     """Each strongly correlated pair once."""
     return matrix.where((F.col("sensor_a") < F.col("sensor_b")) & (F.abs("r") >= min_r))
@@ -185,26 +208,12 @@ def rul_correlation(
 ) -> DataFrame:
     """|r| of every useful sensor with remaining life, ranked, with a strength band."""
     life = lives.rul(readings.select(*C.KEYS, "cycle", *sensors), rows_per_engine)
-    wide = life.agg(
-        F.stddev_samp("RUL").alias("RUL"),
-        *[F.covar_samp(s, "RUL").alias(f"{s}_cov") for s in sensors],
-        *[F.stddev_samp(s).alias(s) for s in sensors],
-    )
-    cells = {
-        s: [
-            F.when(
-                F.col(s) >= C.CONSTANT_BELOW_STD,
-                F.abs(F.try_divide(F.col(f"{s}_cov"), F.col(s) * F.col("RUL"))),
-            )
-        ]
-        for s in sensors
-    }
     # At most one row per sensor from here on.
     ranked = Window.partitionBy(F.lit(1)).orderBy(F.col("abs_r").desc())
     return (
-        wide.select(_stack(cells, ["sensor_name", "raw_r"]))
-        .where(F.col("raw_r").isNotNull())
-        .select("sensor_name", F.round("raw_r", digits).alias("abs_r"))
+        pair_correlations(life, [*sensors, "RUL"])
+        .where((F.col("sensor_b") == "RUL") & (F.col("sensor_a") != "RUL"))
+        .select(F.col("sensor_a").alias("sensor_name"), F.round(F.abs("r"), digits).alias("abs_r"))
         .withColumn("strength", health.correlation_band(F.col("abs_r")))
         .withColumn("position", F.rank().over(ranked).cast("long"))
     )
@@ -227,10 +236,15 @@ def lifespan_histogram(
     )
 
 
+def _span(low: Column, high: Column) -> tuple[Column, Column]:
+    """Ends of a histogram; a single value gets half a unit on either side."""
+    return F.when(high > low, low).otherwise(low - 0.5), F.when(high > low, high).otherwise(high + 0.5)
+
+
 def _equal_width_bin(value: Column, low: Column, high: Column, bins: int) -> Column:
-    """Bin of a value; the last bin is closed and a zero range sits in the middle."""
-    inside = F.floor(F.try_divide(value - low, (high - low).cast("double")) * bins)
-    return F.coalesce(F.least(inside, F.lit(bins - 1)), F.lit(bins // 2)).cast("int")
+    """Bin of a value; the last bin is closed."""
+    start, end = _span(low, high)
+    return F.least(F.floor((value - start) / (end - start) * bins), F.lit(bins - 1)).cast("int")
 
 
 def integer_histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
@@ -252,14 +266,15 @@ def integer_histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     filled = binned.groupBy("dataset", "low", "high").agg(
         F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("found")
     )
-    width = (F.col("high") - F.col("low")) / F.lit(float(bins))
+    start, end = _span(F.col("low"), F.col("high"))
+    width = (end - start) / F.lit(float(bins))
     return (
         filled.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
         .select(
             "dataset",
             "bin",
-            F.round(F.col("low") + F.col("bin") * width, 4).alias("bin_from"),
-            F.round(F.col("low") + (F.col("bin") + 1) * width, 4).alias("bin_to"),
+            F.round(start + F.col("bin") * width, 4).alias("bin_from"),
+            F.round(start + (F.col("bin") + 1) * width, 4).alias("bin_to"),
             F.coalesce(F.try_element_at("found", F.col("bin")), F.lit(0)).alias("n"),
         )
     )

@@ -7,7 +7,8 @@ each scan task keeps at most MAX_LIFE rows per supplier, however many line
 items one supplier has.
 """
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,19 +21,46 @@ MAX_LIFE = MIN_LIFE + LIFE_SPREAD - 1
 MIN_TEST_CYCLES = 31
 
 
-@dataclass(frozen=True)
 class Fleet:
     """Run-to-failure readings, their engines, truncated readings and labels.
 
-    ``rows_per_engine`` is a proven bound on the readings of one engine, or
-    None where there is none; history operators then split long engines.
+    Each table is given as a builder and made on first use, so a query pays
+    only for the tables it reads. ``rows_per_engine`` is a proven bound on the
+    readings of one engine, or None where there is none; history operators then
+    split long engines.
     """
 
-    readings: DataFrame
-    engines: DataFrame
-    test_readings: DataFrame
-    labels: DataFrame
-    rows_per_engine: int | None = field(default=None)
+    def __init__(
+        self,
+        readings: Callable[[], DataFrame],
+        engines: Callable[[], DataFrame],
+        test_readings: Callable[[], DataFrame],
+        labels: Callable[[], DataFrame],
+        rows_per_engine: int | None = None,
+    ):
+        self._build = {
+            "readings": readings,
+            "engines": engines,
+            "test_readings": test_readings,
+            "labels": labels,
+        }
+        self.rows_per_engine = rows_per_engine
+
+    @cached_property
+    def readings(self) -> DataFrame:
+        return self._build["readings"]()
+
+    @cached_property
+    def engines(self) -> DataFrame:
+        return self._build["engines"]()
+
+    @cached_property
+    def test_readings(self) -> DataFrame:
+        return self._build["test_readings"]()
+
+    @cached_property
+    def labels(self) -> DataFrame:
+        return self._build["labels"]()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,23 +68,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lineitem_fleet(spark: SparkSession, sf_dir: str) -> Fleet:
-    items = table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").alias("engine_id"),
-        "l_shipdate",
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        F.col("l_extendedprice").alias("p"),
-        F.col("l_quantity").alias("q"),
-        F.col("l_discount").alias("d"),
-        F.col("l_tax").alias("t"),
-    )
-    readings = _readings(items)
+    lineitem = table(spark, sf_dir, "lineitem")
     return Fleet(
-        readings=readings,
-        engines=_engines(table(spark, sf_dir, "lineitem")),
-        test_readings=_test_readings(readings),
-        labels=_labels(table(spark, sf_dir, "lineitem")),
+        readings=lambda: _readings(lineitem),
+        engines=lambda: _engines(lineitem),
+        test_readings=lambda: _test_readings(_readings(lineitem)),
+        labels=lambda: _labels(lineitem),
         rows_per_engine=MAX_LIFE,
     )
 
@@ -73,7 +90,18 @@ def _true_rul(engine_id):
     return (7 + (engine_id * 29) % 139).cast("int")
 
 
-def _readings(items: DataFrame) -> DataFrame:
+def _readings(lineitem: DataFrame) -> DataFrame:
+    items = lineitem.select(
+        F.col("l_suppkey").alias("engine_id"),
+        "l_shipdate",
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        F.col("l_extendedprice").alias("p"),
+        F.col("l_quantity").alias("q"),
+        F.col("l_discount").alias("d"),
+        F.col("l_tax").alias("t"),
+    )
     in_ship_order = Window.partitionBy("engine_id").orderBy(
         "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "p"
     )

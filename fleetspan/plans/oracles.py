@@ -119,9 +119,10 @@ def _unpivot(columns, source: str, extra: str = "") -> str:
 def _equal_width(value: str, bins: int, source: str) -> str:
     return f"""
 , v AS (SELECT dataset, {value} AS v FROM {source}),
-b AS (SELECT dataset, min(v) AS lo, max(v) AS hi FROM v GROUP BY dataset),
-x AS (SELECT v.dataset, CASE WHEN hi = lo THEN {bins // 2}
-        ELSE least(CAST(floor(CAST(v - lo AS DOUBLE) / (hi - lo) * {bins}) AS INT), {bins - 1}) END AS bin
+m AS (SELECT dataset, CAST(min(v) AS DOUBLE) AS lo, CAST(max(v) AS DOUBLE) AS hi FROM v GROUP BY dataset),
+b AS (SELECT dataset, CASE WHEN hi > lo THEN lo ELSE lo - 0.5 END AS lo,
+             CASE WHEN hi > lo THEN hi ELSE hi + 0.5 END AS hi FROM m),
+x AS (SELECT v.dataset, least(CAST(floor((v - lo) / (hi - lo) * {bins}) AS INT), {bins - 1}) AS bin
       FROM v JOIN b ON v.dataset = b.dataset),
 n AS (SELECT dataset, bin, count(*) AS n FROM x GROUP BY dataset, bin),
 g AS (SELECT b.*, CAST(i AS INT) AS bin FROM b, range(0, {bins}) t(i))
@@ -431,8 +432,8 @@ def oracle_queries() -> dict[str, str]:
         "stream_rolling": "SELECT engine_id, ts, rul, "
         + _r("avg(rul) OVER (PARTITION BY engine_id ORDER BY ts ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)")
         + " AS rolling_avg FROM feed",
-        "stream_kpis": """SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, count(*) AS readings,
-            count(*) FILTER (rul < 30) AS danger, round(avg(rul), 4) AS avg_rul, min(rul) AS min_rul FROM feed GROUP BY 1""",
+        "stream_kpis": f"""SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, count(*) AS readings,
+            count(*) FILTER (rul < 30) AS danger, {_r("avg(rul)")} AS avg_rul, min(rul) AS min_rul FROM feed GROUP BY 1""",
     }
     plain = {
         "coerce_types": """SELECT event_id, TRY_CAST(CASE WHEN event_type = 'error' THEN event_type ELSE CAST(value AS VARCHAR) END AS DOUBLE) AS value,

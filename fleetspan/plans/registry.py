@@ -521,8 +521,15 @@ def all_queries() -> dict[str, Query]:
         # Streams
         "stream_latest": _stream(live.stream_latest),
         "stream_alerts": _stream(live.stream_alerts),
-        "stream_rolling": _stream(lambda s, feed, path: _rounded(live.stream_rolling(s, feed, path), suffixes=("_avg",))),
-        "stream_kpis": _stream(lambda s, feed, path: live.stream_kpis(s, feed, path).drop("engines_approx")),
+        "stream_rolling": _stream(
+            lambda spark, feed, path: _rounded(live.stream_rolling(spark, feed, path), suffixes=("_avg",))
+        ),
+        # The distinct count is approximate, so it is left out of the exact comparison.
+        "stream_kpis": _stream(
+            lambda spark, feed, path: _rounded(
+                live.stream_kpis(spark, feed, path).drop("engines_approx"), suffixes=("avg_rul",)
+            )
+        ),
     }
 
 

@@ -19,14 +19,22 @@ def stamped_name(spark: SparkSession, prefix: str = "maintenance_report") -> str
 
 def _row_html(status: Column) -> Column:
     return F.format_string(
-        '<tr class="%s"><td>Engine %d</td><td>%d cycles</td><td>%s</td></tr>',
+        '<tr class="%s"><td>Engine %d</td><td>%s cycles</td><td>%s</td></tr>',
         health.status_style(status),
         F.col("engine_id"),
-        F.col("rul_capped").cast("int"),
+        F.coalesce(F.col("rul_capped").cast("int").cast("string"), F.lit("—")),
         status,
     )
 
 
+def _by_urgency(*columns: str) -> Column:
+    """Rows of a short list as an array, least life first and unknown life last."""
+    rows = F.collect_list(
+        F.struct(F.col("rul_capped").isNull().alias("unknown"), "rul_capped", "dataset", "engine_id", *columns)
+    )
+    return F.array_sort(rows)
+
+
 def alert_rows(latest: DataFrame, warnings: int = 5) -> DataFrame:
     """HTML rows of all danger engines and of the first warnings, one per engine."""
     danger = serving.danger_list(latest).withColumn("health_status", F.lit("DANGER"))
@@ -42,8 +50,8 @@ def report_body(latest: DataFrame, k: int = 7) -> DataFrame:
     """The critical list (k engines) as one HTML fragment, most urgent first."""
     rows = serving.critical_engines(latest, k).withColumn("html", _row_html(F.col("health_status")))
     # At most k rows.
-    ordered = F.array_sort(F.collect_list(F.struct("rul_capped", "dataset", "engine_id", "html")))
-    return rows.agg(F.array_join(F.transform(ordered, lambda r: r["html"]), "\n").alias("body"))
+    html = F.transform(_by_urgency("html"), lambda r: r["html"])
+    return rows.agg(F.array_join(html, "\n").alias("body"))
 
 
 def alert_sections(latest: DataFrame, warnings: int = 5) -> DataFrame:
@@ -79,9 +87,8 @@ def kpi_document(latest: DataFrame, k: int = 7, stamped: bool = True) -> DataFra
         F.coalesce(F.min(life), F.lit(0)).alias("min_rul"),
         bins.alias("rul_hist"),
     )
-    critical = serving.critical_engines(latest, k).agg(
-        F.array_sort(F.collect_list(F.struct("rul_capped", "dataset", "engine_id", "health_status")))
-    )
+    listed = F.transform(_by_urgency("health_status"), lambda r: r.dropFields("unknown"))
+    critical = serving.critical_engines(latest, k).agg(listed)
     document = kpis.withColumn("critical", critical.scalar())
     if stamped:
         document = document.withColumn("updated", scalars.stamp(scalars.STAMP_PAGE))

@@ -76,7 +76,7 @@ def kpi_windows(feed: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("readings"),
             F.count_if(health.is_danger(F.col("rul"))).alias("danger"),
-            F.round(F.avg("rul"), 4).alias("avg_rul"),
+            F.avg("rul").alias("avg_rul"),
             F.min("rul").alias("min_rul"),
             F.approx_count_distinct("engine_id").alias("engines_approx"),
         )

@@ -43,9 +43,9 @@ class TailState:
             touched = batch.select(*self.keys).distinct()
             context = earlier.join(touched, self.keys, "left_semi")
             rows = rows.unionByName(context.withColumn("_new", F.lit(False)))
-        everything = rows.drop("_new")
-        if batch_id % SNAPSHOT_EVERY == 0 and earlier is not None:
-            everything = batch.unionByName(earlier)
-        write_batch(self._last_rows(everything), self.path, batch_id)
+        # Each stored row appears once since the last full copy.
+        snapshot = batch_id % SNAPSHOT_EVERY == 0 and earlier is not None
+        kept = batch.unionByName(earlier) if snapshot else batch
+        write_batch(self._last_rows(kept), self.path, batch_id)
         out = over_history(rows, features, self.back, keys=self.keys, order=self.order, block=block)
         return out.where("_new").drop("_new")
