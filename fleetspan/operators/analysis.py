@@ -195,7 +195,7 @@ def maintenance_alerts(
     )
     if stamped:
         alerts = alerts.withColumn("report_generated_at", F.current_timestamp())
-    return alerts.orderBy("cycles_remaining")
+    return alerts.orderBy("cycles_remaining", *C.KEYS)
 
 
 def table_counts(**tables: DataFrame) -> DataFrame:

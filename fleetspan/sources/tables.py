@@ -45,7 +45,8 @@ def read_serving_jdbc(
 
 
 def by_cycle_descending(df: DataFrame) -> DataFrame:
-    return df.orderBy(F.desc("cycle"))
+    """Newest cycles first; the engine key splits the many rows that share a cycle."""
+    return df.orderBy(F.desc("cycle"), *C.KEYS)
 
 
 def column_catalog(spark: SparkSession) -> DataFrame:

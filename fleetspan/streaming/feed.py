@@ -31,11 +31,24 @@ def run_available(
     each_batch: Callable[[DataFrame, int], None],
     checkpoint: str,
     mode: str = "append",
+    reread: bool = False,
 ) -> None:
-    """Process everything available, batch by batch, and stop."""
+    """Process everything available, batch by batch, and stop.
+
+    ``reread`` keeps a batch cached while it is worked on, for steps that scan it
+    more than once.
+    """
+
+    def cached(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            each_batch(batch, batch_id)
+        finally:
+            batch.unpersist()
+
     query = (
         stream.writeStream.outputMode(mode)
-        .foreachBatch(each_batch)
+        .foreachBatch(cached if reread else each_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -46,7 +46,7 @@ def stream_alerts(spark: SparkSession, feed: DataFrame, path: str) -> DataFrame:
         )
         write_batch(previous.where(turned), f"{path}/table", batch)
 
-    run_available(feed, each, f"{path}/checkpoint")
+    run_available(feed, each, f"{path}/checkpoint", reread=True)
     return spark.read.parquet(f"{path}/table").drop("batch")
 
 
@@ -65,7 +65,7 @@ def stream_rolling(
         )
         write_batch(out, f"{path}/table", batch)
 
-    run_available(feed, each, f"{path}/checkpoint")
+    run_available(feed, each, f"{path}/checkpoint", reread=True)
     return spark.read.parquet(f"{path}/table").drop("batch")
 
 
