@@ -103,7 +103,7 @@ def _splits(rows: DataFrame, nodes: list[_Node], spread: dict[str, tuple[float,
         if (r := stats.get(i)) is not None:
             widest = share(max(DIMENSIONS, key=lambda d: (r[f"{d}_max"] - r[f"{d}_min"]) / (spread[d][1] or 1.0)))
         at = F.floor(widest * (1 << BITS)).cast("long") * (1 << 32) + F.col("text_crc32")
-        by_id = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+        by_id = F.pmod(F.xxhash64(F.lit(node.first), F.lit(node.leaves), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
         left = (at < place) | ((at == place) & (by_id < part))
         split.append(_Node(half[i], node.first, node.where & left))
         split.append(_Node(node.leaves - half[i], node.first + half[i], node.where & ~left))
