@@ -143,6 +143,7 @@ def near_components(docs: DataFrame, k: int, similarity: int, bands: int, rows:
     classes = staged(classes, "classes")
     keyed = classes.select("node", "n", F.explode("bands").alias("band"))
     shared = keyed.groupBy("band").agg(F.count("*").alias("in_band"), F.min("node").alias("a")).where("in_band > 1").select("band", "a")
+    shared = staged(shared, "shared-bands")  # a table of its own, so the join can split a crowded band
     keyed = staged(keyed.join(shared, "band"), "bands")
     nodes = keyed.select("node").distinct().join(classes.select("node", "row"), "node")
     sets = docs.select("row", "text").join(nodes, "row").dropDuplicates(["node"])

@@ -155,6 +155,7 @@ def _removals(docs: DataFrame, window: int, k: int, with_text: bool) -> tuple[Da
     edges = scan.where(F.col("path").isNotNull()).select("edge", "path", "at", "row")
     known = edges.groupBy("edge").agg(F.count("*").alias("n"), F.min("path").alias("low"), F.max("path").alias("high"))
     known = known.where("n > 1").select("edge", (F.col("low") == F.col("high")).alias("straight"))
+    known = staged(known, "known")  # a table of its own, so the join can split an edge that many documents share
     again = staged(edges.join(known, "edge"), "repeated")
     forks = again.where(~F.col("straight"))
     paths = forks.groupBy("edge", "path").agg(F.count("*").alias("n"), F.min(F.struct("row", "at")).alias("one"))
