@@ -9,11 +9,12 @@ coordinate. So two permutations make all coordinates.
 Documents with equal sets (128-bit digests) are one class from the start, and a
 class is searched once, however many copies it has. The coordinates are cut into
 bands; classes that agree in a band are candidates. Each class is checked
-against the smallest class of each of its bands, on the full sets, and linked
-classes are joined to components. Pairs of one band that are still in different
-components, and could be similar by their sizes, are checked as well, so no
-candidate that could still change a component is left out, and a band with
-thousands of near copies costs one check each rather than one for each pair.
+against the hub of each of its bands (the class that meets most others), on the
+full sets, and linked classes are joined to components. Pairs of one band that
+are still in different components are checked as well, unless their sizes and
+the shingles that only one class has rule a link out. So no candidate that could
+change a component is left out, and a band with thousands of near copies costs
+one check each rather than one for each pair.
 
 With 24 bands of 4, a pair at the limit of 0.8 shares no band with a chance of
 3 in a million; closer pairs less.
@@ -135,6 +136,26 @@ def _linked(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return both.where(100 * F.col("shared") >= similarity * union).select("a", "b")
 
 
+def _unsettled(keyed: DataFrame, parts: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Rows (band, node, n, own, part) of the classes that a link inside their band could still bring to another component.
+
+    ``own`` counts the shingles that no other such class has. Two classes share
+    at most what isn't their own, so a class with many can't be linked to one of
+    a given size, nor to any that is larger.
+    """
+    mixed_bands = lambda rows: rows.groupBy("band").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.min("n").alias("least")).where("x <> y")
+    placed = keyed.join(parts, "node", "left").select("band", "node", "n", F.coalesce("component", "node").alias("part"))
+    rest = staged(placed.join(staged(mixed_bands(placed).select("band"), "mixed"), "band"), "mixed-bands")
+    members = rest.select("node").distinct()
+    each = sets.join(members, "node").select("node", F.explode("shingles").alias("shingle"))
+    own = each.groupBy("shingle").agg(F.count("*").alias("classes"), F.min("node").alias("node")).where("classes = 1")
+    own = own.groupBy("node").agg(F.count("*").alias("own"))
+    rest = staged(rest.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0))).where(f"100 * (n - own) >= {similarity} * n"), "unsettled")
+    least = staged(mixed_bands(rest).select("band", "least"), "mixed")
+    rest = staged(rest.join(least, "band").where(f"{100 + similarity} * (n - own) >= {similarity} * (n + least)").drop("least"), "unsettled")
+    return staged(rest.join(staged(mixed_bands(rest).select("band"), "mixed"), "band"), "unsettled")
+
+
 def near_components(docs: DataFrame, k: int, similarity: int, bands: int, rows: int) -> DataFrame:
     """row, doc_id, n_shingles and component_id for rows (row, doc_id, text)."""
     scan = staged(docs.mapInArrow(_scan(k, bands, rows), "row long, doc_id long, n long, node long, bands array<long>"), "signatures")
@@ -142,23 +163,25 @@ def near_components(docs: DataFrame, k: int, similarity: int, bands: int, rows:
     classes = full.groupBy("node").agg(F.min("doc_id").alias("low"), F.min("row").alias("row"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = staged(classes, "classes")
     keyed = classes.select("node", "n", F.explode("bands").alias("band"))
-    shared = keyed.groupBy("band").agg(F.count("*").alias("in_band"), F.min("node").alias("a")).where("in_band > 1").select("band", "a")
+    shared = keyed.groupBy("band").agg(F.count("*").alias("in_band")).where("in_band > 1")
     shared = staged(shared, "shared-bands")  # a table of its own, so the join can split a crowded band
     keyed = staged(keyed.join(shared, "band"), "bands")
+    known = staged(keyed.groupBy("node").agg(F.sum("in_band").alias("company")), "company")
+    hubs = keyed.join(known, "node").groupBy("band").agg(F.max(F.struct("company", "node")).getField("node").alias("a"))
+    hubs = staged(hubs, "hubs")
     nodes = keyed.select("node").distinct().join(classes.select("node", "row"), "node")
     sets = docs.select("row", "text").join(nodes, "row").dropDuplicates(["node"])
     sets = staged(sets.mapInArrow(_sets(k), "node long, shingles array<long>"), "sets")
     sized = classes.select(F.col("node").alias("a"), F.col("n").alias("n_a"))
-    stars = keyed.where("node <> a").select("a", F.col("node").alias("b"), F.col("n").alias("n_b")).distinct()
+    stars = keyed.join(hubs, "band").where("node <> a").select("a", F.col("node").alias("b"), F.col("n").alias("n_b")).distinct()
     possible = f"100 * least(n_a, n_b) >= {similarity} * greatest(n_a, n_b)"
     stars = stars.join(sized, "a").where(possible).select("a", "b")
     links = staged(_linked(stars, sets, similarity), "links")
     parts = components(links)
-    placed = keyed.select("band", "node", "n").join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
-    split = placed.groupBy("band").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("band")
-    rest = staged(placed.join(split, "band").select("band", "node", "n", "part"), "split-bands")
-    other = rest.select("band", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("part_b"))
-    pairs = rest.select("band", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("part_a"))
+    rest = _unsettled(keyed.select("band", "node", "n"), parts, sets, similarity)
+    other = rest.select("band", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("own").alias("own_b"), F.col("part").alias("part_b"))
+    pairs = rest.select("band", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("own").alias("own_a"), F.col("part").alias("part_a"))
+    possible = f"{100 + similarity} * least(n_a - own_a, n_b - own_b) >= {similarity} * (n_a + n_b)"
     pairs = pairs.join(other, "band").where("a < b and part_a <> part_b").where(possible).select("a", "b").distinct()
     more = staged(_linked(pairs, sets, similarity), "more-links")
     if not more.isEmpty():
