@@ -75,8 +75,8 @@ MODEL_FEATURES = (
 
 # position, column, description, unit
 COLUMN_CATALOG = (
-    (1, "engine_id", "Which engine this reading is from", None),
-    (2, "cycle", "Time step number, counted up to failure", None),
+    (1, "engine_id", "Unit number, unique within its data set", None),
+    (2, "cycle", "Operating cycles the unit has completed", None),
     (3, "op_setting_1", "Operational setting 1", None),
     (4, "op_setting_2", "Operational setting 2", None),
     (5, "op_setting_3", "Operational setting 3", None),

@@ -8,18 +8,18 @@ from fleetspan.functions import health, scalars
 
 
 def latest_per_engine(df: DataFrame, keys: list[str] = C.KEYS, order: str = "cycle") -> DataFrame:
-    """The whole row of each engine's last cycle.
+    """The whole row of each engine's last cycle; of several, the one with the largest other columns.
 
-    One ``max_by`` per column, all in one hash aggregate with map-side
-    combining: a long engine shrinks to one row per task before the exchange.
-    The columns move in step, so the result is one reading, nulls included.
+    The limit on the row number is applied before the exchange as well, so a long
+    engine shrinks to one row per task. On a stream, which has no row numbers, the
+    same row is the largest struct.
     """
     rest = [c for c in df.columns if c not in keys and c != order]
-    return (
-        df.groupBy(*keys)
-        .agg(F.max(order).alias(order), *[F.max_by(c, order).alias(c) for c in rest])
-        .select(*df.columns)
-    )
+    if df.isStreaming:
+        newest = df.groupBy(*keys).agg(F.max(F.struct(order, *rest)).alias("newest"))
+        return newest.select(*keys, "newest.*").select(*df.columns)
+    last = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in (order, *rest)])
+    return df.withColumn("_nth", F.row_number().over(last)).where(F.col("_nth") == 1).drop("_nth")
 
 
 def latest_non_null(df: DataFrame, keys: list[str] = C.KEYS, order: str = "cycle") -> DataFrame:

@@ -1,23 +1,20 @@
 """Fleet tables, and their binding to a star-schema ``lineitem`` table.
 
-``lineitem_fleet`` reads a supplier as an engine and its line items, in ship
-order, as cycles. An engine's life is a function of its id and never exceeds
-``MAX_LIFE``, so the row number is cut at that constant before the exchange:
-each scan task keeps at most MAX_LIFE rows per supplier, however many line
-items one supplier has.
+``lineitem_fleet`` deals blocks of thirty order numbers to engines, one, two or
+three blocks each, so lives differ. Every line item is a reading: its cycle is its
+place in the engine's ship order, and a life is the engine's number of readings.
+Cycles are numbered inside each engine and ship month, after the counts of the
+months before, so no engine has to be sorted in one task, however long it is.
 """
 
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetspan import constants as C
 
-MIN_LIFE = 128
-LIFE_SPREAD = 235
-MAX_LIFE = MIN_LIFE + LIFE_SPREAD - 1
 MIN_TEST_CYCLES = 31
 
 
@@ -74,7 +71,6 @@ def lineitem_fleet(spark: SparkSession, sf_dir: str) -> Fleet:
         engines=lambda: _engines(lineitem),
         test_readings=lambda: _test_readings(_readings(lineitem)),
         labels=lambda: _labels(lineitem),
-        rows_per_engine=MAX_LIFE,
     )
 
 
@@ -82,8 +78,10 @@ def _dataset(engine_id):
     return F.concat(F.lit("FD00"), (1 + engine_id % 4).cast("string"))
 
 
-def _life(engine_id):
-    return (MIN_LIFE + (engine_id * 37) % LIFE_SPREAD).cast("int")
+def _engine_id() -> Column:
+    """Six blocks of thirty orders make three engines: of one, two and three blocks."""
+    place = "l_orderkey div 30 % 6"
+    return F.expr(f"l_orderkey div 180 * 3 + CASE WHEN {place} = 0 THEN 0 WHEN {place} <= 2 THEN 1 ELSE 2 END")
 
 
 def _true_rul(engine_id):
@@ -92,9 +90,11 @@ def _true_rul(engine_id):
 
 def _readings(lineitem: DataFrame) -> DataFrame:
     items = lineitem.select(
-        F.col("l_suppkey").alias("engine_id"),
+        _engine_id().alias("engine_id"),
+        F.date_trunc("month", "l_shipdate").alias("month"),
         "l_shipdate",
         "l_orderkey",
+        "l_suppkey",
         "l_linenumber",
         "l_partkey",
         F.col("l_extendedprice").alias("p"),
@@ -102,13 +102,16 @@ def _readings(lineitem: DataFrame) -> DataFrame:
         F.col("l_discount").alias("d"),
         F.col("l_tax").alias("t"),
     )
-    in_ship_order = Window.partitionBy("engine_id").orderBy(
-        "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "p"
+    months = items.groupBy("engine_id", "month").count()
+    earlier = Window.partitionBy("engine_id").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    months = months.select("engine_id", "month", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("ahead"))
+    in_ship_order = Window.partitionBy("engine_id", "month").orderBy(
+        "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "p"
     )
     cycles = (
-        items.withColumn("cycle", F.row_number().over(in_ship_order))
-        .where(F.col("cycle") <= MAX_LIFE)
-        .where(F.col("cycle") <= _life(F.col("engine_id")))
+        items.withColumn("nth", F.row_number().over(in_ship_order))
+        .join(months, ["engine_id", "month"])
+        .withColumn("cycle", (F.col("ahead") + F.col("nth")).cast("int"))
         .withColumn("c", F.col("cycle").cast("double"))
     )
     q, p, d, t, c = (F.col(name) for name in "qpdtc")
@@ -148,21 +151,21 @@ def _readings(lineitem: DataFrame) -> DataFrame:
 
 
 def _engines(lineitem: DataFrame) -> DataFrame:
-    """Cycles are dense from 1, so a life is the row count up to its limit."""
+    """Cycles are dense from 1, so a life is the row count."""
     return (
-        lineitem.groupBy(F.col("l_suppkey").alias("engine_id"))
+        lineitem.groupBy(_engine_id().alias("engine_id"))
         .count()
         .select(
             "engine_id",
             _dataset(F.col("engine_id")).alias("dataset"),
-            F.least(F.col("count"), _life(F.col("engine_id"))).cast("int").alias("max_cycle"),
+            F.col("count").cast("int").alias("max_cycle"),
         )
     )
 
 
 def _labels(lineitem: DataFrame) -> DataFrame:
     return (
-        lineitem.select(F.col("l_suppkey").alias("engine_id"))
+        lineitem.select(_engine_id().alias("engine_id"))
         .distinct()
         .select(
             "engine_id",
@@ -173,16 +176,10 @@ def _labels(lineitem: DataFrame) -> DataFrame:
 
 
 def _test_readings(readings: DataFrame) -> DataFrame:
-    """Histories cut ``true_rul`` cycles before failure; at most MAX_LIFE rows per engine."""
-    life = F.max("cycle").over(Window.partitionBy("dataset", "engine_id"))
-    return (
-        readings.withColumn("_life", life)
-        .where(
-            F.col("cycle")
-            <= F.greatest(F.lit(MIN_TEST_CYCLES), F.col("_life") - _true_rul(F.col("engine_id")))
-        )
-        .drop("_life")
-    )
+    """Histories cut ``true_rul`` cycles before failure; lives are combined before they are shuffled."""
+    lives = readings.groupBy("dataset", "engine_id").agg(F.max("cycle").alias("_life"))
+    last = F.greatest(F.lit(MIN_TEST_CYCLES), F.col("_life") - _true_rul(F.col("engine_id")))
+    return readings.join(lives, ["dataset", "engine_id"]).where(F.col("cycle") <= last).select(*readings.columns)
 
 
 def with_gaps(readings: DataFrame) -> DataFrame:

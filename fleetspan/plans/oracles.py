@@ -4,15 +4,17 @@ from fleetspan import constants as C
 
 # The lineitem binding in SQL; see ``plans.binding`` for the Spark form.
 FLEET = """
-WITH r0 AS (
-  SELECT l_suppkey AS engine_id,
-         concat('FD00', CAST(1 + l_suppkey % 4 AS VARCHAR(10))) AS dataset,
-         CAST(row_number() OVER (PARTITION BY l_suppkey
-              ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS INT) AS cycle,
-         CAST(128 + (l_suppkey * 37) % 235 AS INT) AS life,
-         CAST(7 + (l_suppkey * 29) % 139 AS INT) AS true_rul,
-         l_quantity AS q, l_extendedprice AS p, l_discount AS d, l_tax AS t
+WITH items AS (
+  SELECT *, l_orderkey // 180 * 3 + CASE WHEN l_orderkey // 30 % 6 = 0 THEN 0 WHEN l_orderkey // 30 % 6 <= 2 THEN 1 ELSE 2 END AS engine_id
   FROM lineitem),
+r0 AS (
+  SELECT engine_id,
+         concat('FD00', CAST(1 + engine_id % 4 AS VARCHAR(10))) AS dataset,
+         CAST(row_number() OVER (PARTITION BY engine_id
+              ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS INT) AS cycle,
+         CAST(7 + (engine_id * 29) % 139 AS INT) AS true_rul,
+         l_quantity AS q, l_extendedprice AS p, l_discount AS d, l_tax AS t
+  FROM items),
 r1 AS (SELECT *, CAST(cycle AS DOUBLE) AS c FROM r0),
 readings AS (
   SELECT engine_id, dataset, cycle,
@@ -40,7 +42,7 @@ readings AS (
          CAST(100.0 AS DOUBLE) AS sensor_19,
          CAST(38.9 AS DOUBLE) - t - CAST(0.001 AS DOUBLE) * c AS sensor_20,
          CAST(23.3 AS DOUBLE) - d - CAST(0.0006 AS DOUBLE) * c AS sensor_21
-  FROM r1 WHERE cycle <= life),
+  FROM r1),
 engines AS (
   SELECT engine_id, dataset, max(cycle) AS max_cycle FROM readings GROUP BY engine_id, dataset),
 rul_labels AS (SELECT DISTINCT engine_id, dataset, true_rul FROM r0),
@@ -348,7 +350,8 @@ def oracle_queries() -> dict[str, str]:
               WHEN 'WARNING' THEN 'Plan maintenance within 2 weeks.' ELSE 'Continue monitoring. No action needed.' END AS action,
             CASE status WHEN 'DANGER' THEN 'status-danger' WHEN 'WARNING' THEN 'status-warning' ELSE 'status-ok' END AS style_class
             FROM latest""",
-        "engine_history": f""", w AS (SELECT dataset, engine_id FROM latest
+        "engine_history": f"SELECT {_SERVING_COLUMNS} FROM serving WHERE engine_id = 3 AND dataset = 'FD004'",
+        "worst_engine_histories": f""", w AS (SELECT dataset, engine_id FROM latest
               QUALIFY row_number() OVER (PARTITION BY dataset ORDER BY rul_capped, engine_id) = 1)
             SELECT {', '.join('s.' + c.strip() for c in _SERVING_COLUMNS.split(','))} FROM serving s JOIN w ON s.dataset = w.dataset AND s.engine_id = w.engine_id""",
         "readings_desc": f"SELECT {_SERVING_COLUMNS} FROM serving ORDER BY cycle DESC",

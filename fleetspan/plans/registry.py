@@ -15,7 +15,7 @@ from fleetspan.plans import sql_surface
 from fleetspan.plans.binding import Fleet, as_feed, lineitem_fleet, table, with_gaps
 from fleetspan.plans.shared import new_path
 from fleetspan.sinks import reports, tables
-from fleetspan.sources import files, pages, text
+from fleetspan.sources import pages, text
 from fleetspan.sources import tables as stored
 from fleetspan.streaming import feed as feeds
 from fleetspan.streaming import reports as live
@@ -227,16 +227,18 @@ def _sensor_profile_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.labelled(spark, profiling.sensor_profile(lineitem_fleet(spark, sf_dir).readings))
 
 
-def _file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["lineitem.parquet", "events.parquet", "pages.parquet", "documents.parquet", "absent.parquet"]
-    return files.file_inventory(spark, sf_dir, names, "*.parquet")
+# --- Models: trained once per application and state of the table, saved, and loaded back ---
 
 
-# --- Models: trained once per application and folder, saved, and loaded back ---
+def _state(spark: SparkSession, sf_dir: str) -> str:
+    """Changes when the line items do: rows of each file and when it was written."""
+    written = table(spark, sf_dir, "lineitem").select("_metadata.file_path", "_metadata.file_modification_time")
+    per_file = written.groupBy("file_path").agg(F.count("*").alias("n"), F.max("file_modification_time").alias("at"))
+    return str(per_file.agg(F.sum(F.xxhash64("file_path", "n", "at").cast("decimal(38,0)"))).first()[0])
 
 
 @cache
-def _training_frame(app: str, sf_dir: str) -> str:
+def _training_frame(app: str, sf_dir: str, state: str) -> str:
     spark = SparkSession.active()
     path = new_path(spark, "features")
     prepare.model_frame(_features(lineitem_fleet(spark, sf_dir))).write.parquet(path)
@@ -244,11 +246,11 @@ def _training_frame(app: str, sf_dir: str) -> str:
 
 
 def _model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(_training_frame(spark.sparkContext.applicationId, sf_dir))
+    return spark.read.parquet(_training_frame(spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir)))
 
 
 @cache
-def _trained_forest(app: str, sf_dir: str) -> str:
+def _trained_forest(app: str, sf_dir: str, state: str) -> str:
     spark = SparkSession.active()
     model, _, _ = forest.train_life_model(_model_frame(spark, sf_dir))
     path = new_path(spark, "forest")
@@ -257,11 +259,11 @@ def _trained_forest(app: str, sf_dir: str) -> str:
 
 
 def _forest(spark: SparkSession, sf_dir: str):
-    return forest.load_model(_trained_forest(spark.sparkContext.applicationId, sf_dir))
+    return forest.load_model(_trained_forest(spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir)))
 
 
 @cache
-def _trained_isolation(app: str, sf_dir: str) -> str:
+def _trained_isolation(app: str, sf_dir: str, state: str) -> str:
     spark = SparkSession.active()
     fitted = isolation.fit_isolation_forest(prepare.healthy_rows(_model_frame(spark, sf_dir)))
     path = new_path(spark, "isolation")
@@ -271,7 +273,7 @@ def _trained_isolation(app: str, sf_dir: str) -> str:
 
 def _isolation(spark: SparkSession, sf_dir: str) -> isolation.IsolationForest:
     return isolation.IsolationForest.load(
-        spark, _trained_isolation(spark.sparkContext.applicationId, sf_dir)
+        spark, _trained_isolation(spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
     )
 
 
@@ -326,7 +328,7 @@ def _fleet_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream(build: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = build(spark, feeds.read_feed(spark, sf_dir), new_path(spark, "stream"))
+        out = build(spark, feeds.read_feed(spark, f"{sf_dir}/events.parquet"), new_path(spark, "stream"))
         stamps = [c for c, t in out.dtypes if t == "timestamp"]
         return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in stamps})
 
@@ -457,7 +459,8 @@ def all_queries() -> dict[str, Query]:
         "danger_list": _on_latest(serving.danger_list),
         "warning_top5": _on_latest(serving.top_warnings),
         "work_order": _on_latest(serving.work_order),
-        "engine_history": _on_serving(serving.worst_engine_histories),
+        "engine_history": _on_serving(lambda df: serving.engine_history(df, 3, "FD004")),
+        "worst_engine_histories": _on_serving(serving.worst_engine_histories),
         "readings_desc": _on_serving(stored.by_cycle_descending),
         "engine_cards": _on_serving(serving.engine_cards),
         "rul_gauges": _on_serving(serving.rul_gauges),
@@ -489,7 +492,6 @@ def all_queries() -> dict[str, Query]:
         "serving_refresh": _serving_refresh,
         "nan_to_null": _on_fleet(_nan_to_null),
         "coerce_types": _coerce_types,
-        "file_inventory": _file_inventory,
         "page_links": lambda spark, sf_dir: pages.page_links(table(spark, sf_dir, "pages")),
         "relevant_links": lambda spark, sf_dir: pages.relevant_links(
             table(spark, sf_dir, "pages"), LINK_TEXT_TERMS, LINK_HREF_TERMS

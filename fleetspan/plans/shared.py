@@ -1,6 +1,5 @@
 """Shared storage for written tables, checkpoints and model artefacts."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,7 @@ _SETTING = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints.
 
-    Where the setting is absent only a local session gets a folder of its own;
+    Where the setting is absent a local session uses a folder of its warehouse;
     a cluster job must name one that all executors can reach.
     """
     folder = spark.conf.get(_SETTING, None)
@@ -20,7 +19,7 @@ def shared_dir(spark: SparkSession) -> str:
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="fleetspan-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/staged"
         spark.conf.set(_SETTING, folder)
     return folder.rstrip("/")
 

@@ -1,6 +1,6 @@
 """Fleet tables: creation, idempotent loading and refresh."""
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetspan import constants as C
@@ -30,8 +30,11 @@ def create_tables(spark: SparkSession, database: str = "default", location: str
 
 
 def new_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Source rows whose key the target lacks, one per key."""
-    return source.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")
+    """Source rows whose key the target lacks; of several with one key the smallest in the other columns."""
+    rest = [c for c in source.columns if c not in keys]
+    first = Window.partitionBy(*keys).orderBy(*(rest or keys))
+    one = source.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") == 1).select(*source.columns)
+    return one.join(target.select(*keys), keys, "left_anti")
 
 
 def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

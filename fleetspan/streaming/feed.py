@@ -17,13 +17,17 @@ EVENT_SCHEMA = (
 
 
 def read_feed(
-    spark: SparkSession, folder: str, pattern: str = "events*.parquet", files_per_batch: int | None = None
+    spark: SparkSession, path: str, files_per_batch: int | None = None
 ) -> DataFrame:
-    """A Parquet event folder as a stream of (engine_id, ts, rul)."""
-    reader = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", pattern)
+    """A Parquet event table, one file or a folder of files, as a stream of (engine_id, ts, rul).
+
+    A stream's path must be a folder or a pattern; a pattern that only the path
+    itself matches stands for both.
+    """
+    reader = spark.readStream.schema(EVENT_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return as_feed(reader.parquet(folder))
+    return as_feed(reader.parquet(f"{path[:-1]}[{path[-1]}]"))
 
 
 def run_available(

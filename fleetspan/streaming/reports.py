@@ -11,18 +11,24 @@ from fleetspan.streaming.tail_state import TailState
 
 KEY = ["engine_id"]
 WINDOW = "5 minutes"
-DELAY = "1 hour"
 
 
 def _hour(ts: str = "ts") -> Column:
     return F.floor(F.unix_seconds(F.col(ts)) / 3600)
 
 
+def _started(feed: DataFrame, path: str, extra: str = "") -> None:
+    """An empty result, so that a stream without rows has one too."""
+    columns = ", ".join(filter(None, [*(f"{c} {t}" for c, t in feed.dtypes), extra]))
+    write_batch(feed.sparkSession.createDataFrame([], columns), path, -1)
+
+
 def stream_latest(spark: SparkSession, feed: DataFrame, path: str) -> DataFrame:
     """Latest reading and status per engine, kept current by the stream."""
     latest = latest_per_engine(feed, KEY, "ts").withColumn(
         "health_status", health.health_status(F.col("rul"), "HEALTHY")
     )
+    _started(latest, f"{path}/table")
     run_available(
         latest, lambda df, batch: write_batch(df, f"{path}/table", batch), f"{path}/checkpoint", "update"
     )
@@ -46,6 +52,7 @@ def stream_alerts(spark: SparkSession, feed: DataFrame, path: str) -> DataFrame:
         )
         write_batch(previous.where(turned), f"{path}/table", batch)
 
+    _started(feed, f"{path}/table", "health_status string, previous_status string")
     run_available(feed, each, f"{path}/checkpoint", reread=True)
     return spark.read.parquet(f"{path}/table").drop("batch")
 
@@ -65,6 +72,7 @@ def stream_rolling(
         )
         write_batch(out, f"{path}/table", batch)
 
+    _started(feed, f"{path}/table", "rolling_avg double")
     run_available(feed, each, f"{path}/checkpoint", reread=True)
     return spark.read.parquet(f"{path}/table").drop("batch")
 
@@ -85,9 +93,11 @@ def kpi_windows(feed: DataFrame) -> DataFrame:
 
 
 def stream_kpis(spark: SparkSession, feed: DataFrame, path: str) -> DataFrame:
-    """KPI snapshots per interval, updated until the watermark closes them."""
+    """KPI snapshots per interval, updated by every late row too: state is one row per interval, none is dropped."""
+    kpis = kpi_windows(feed)
+    _started(kpis, f"{path}/table")
     run_available(
-        kpi_windows(feed.withWatermark("ts", DELAY)),
+        kpis,
         lambda df, batch: write_batch(df, f"{path}/table", batch),
         f"{path}/checkpoint",
         "update",

@@ -33,4 +33,4 @@ def test_returns_rows(spark, sf_dir, name):
 
 def test_entry(spark):
     rows = entry_point.entry(spark).collect()
-    assert sum(row["engines"] for row in rows) == 10
+    assert sum(row["engines"] for row in rows) == 26

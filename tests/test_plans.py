@@ -2,6 +2,7 @@
 
 from fleetspan.operators import history, lives, serving
 from fleetspan.plans.registry import all_queries
+from fleetspan.plans.shared import staged
 
 
 def plan(df) -> str:
@@ -12,14 +13,13 @@ def exchanges(df) -> int:
     return plan(df).count("Exchange hashpartitioning")
 
 
-def test_long_suppliers_are_cut_before_the_exchange(fleet):
-    text = plan(fleet.readings)
-    exchange = text.index("Exchange hashpartitioning")
-    assert "WindowGroupLimit" in text[exchange:] and "Partial" in text[exchange:]
+def test_every_line_item_is_a_reading(spark, sf_dir, fleet):
+    assert fleet.rows_per_engine is None and "WindowGroupLimit" not in plan(fleet.readings)
+    assert fleet.readings.count() == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
 
 
 def test_feature_frame_is_one_exchange_in_the_jvm(fleet):
-    df = lives.features(fleet.readings, fleet.rows_per_engine)
+    df = lives.features(staged(fleet.readings), 1000)
     assert exchanges(df) == 1
     assert "Python" not in plan(df) and "Arrow" not in plan(df)
 
@@ -33,14 +33,18 @@ def test_rolling_reads_only_its_columns(fleet):
     assert "l_quantity" not in plan(df)
 
 
-def test_latest_row_is_a_hash_aggregate_with_partial_step(fleet):
-    frame = lives.serving_frame(fleet.test_readings, fleet.labels, fleet.rows_per_engine)
-    text = plan(serving.latest_per_engine(frame))
-    assert "partial_max_by" in text and "SortAggregate" not in text
+def test_latest_row_is_limited_before_the_exchange(fleet):
+    text = plan(serving.latest_per_engine(staged(fleet.readings)))
+    assert "WindowGroupLimit" in text[text.index("Exchange hashpartitioning") :]
+
+
+def test_one_engine_reaches_the_scan(fleet):
+    text = plan(serving.engine_history(staged(fleet.readings), 3, "FD004"))
+    assert "EqualTo(engine_id,3)" in text and "EqualTo(dataset,FD004)" in text
 
 
 def test_engine_reports_scan_one_column(spark, sf_dir):
-    assert "ReadSchema: struct<l_suppkey:bigint>" in plan(all_queries()["fleet_summary"](spark, sf_dir))
+    assert "ReadSchema: struct<l_orderkey:bigint>" in plan(all_queries()["fleet_summary"](spark, sf_dir))
 
 
 def test_no_query_uses_a_cartesian_product(spark, sf_dir):

@@ -164,3 +164,13 @@ def test_guards(spark, latest):
     assert sets.rename(latest, {"rul_capped": "RUL_capped"}).columns[3] == "RUL_capped"
     headers = serving.work_order_report(latest).columns
     assert "Estimated RUL" in headers and "Action" in headers
+
+
+def test_latest_and_insert_do_not_depend_on_row_order(spark):
+    from fleetspan.sinks import tables
+
+    rows = [("FD001", 1, 5, float(i % 7), float(i)) for i in range(40)]
+    frames = [spark.createDataFrame(rows[k:] + rows[:k], "dataset string, engine_id long, cycle int, a double, b double").repartition(k + 1) for k in range(4)]
+    assert {tuple(serving.latest_per_engine(df).first()) for df in frames} == {("FD001", 1, 5, 6.0, 34.0)}
+    empty = frames[0].where("false")
+    assert {tuple(tables.insert_ignore(empty, df, ["dataset", "engine_id"]).first()) for df in frames} == {("FD001", 1, 5, 0.0, 0.0)}

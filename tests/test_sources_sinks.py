@@ -63,9 +63,9 @@ def test_tables_load_once(spark, fleet, tmp_path):
     for _ in range(2):
         tables.load_fleet(spark, fleet.readings, fleet.engines, fleet.labels, "fleet_test")
     counts = [spark.table(f"fleet_test.{t}").count() for t in ("engines", "sensor_readings", "rul_labels")]
-    assert counts == [10, 2240, 10]
+    assert counts == [26, 6000, 26]
     tables.append(fleet.engines, "fleet_test.engines")
-    assert spark.table("fleet_test.engines").count() == 20
+    assert spark.table("fleet_test.engines").count() == 52
     plan = spark.table("fleet_test.sensor_readings").where("dataset = 'FD001'")
     assert "PartitionFilters: [isnotnull(dataset" in plan._jdf.queryExecution().executedPlan().toString()
 
@@ -88,9 +88,9 @@ def test_refresh_switches_versions(spark, tmp_path):
 
 def test_written_readings_and_observation(spark, fleet, tmp_path):
     seen = tables.write_observed(fleet.readings, str(tmp_path / "observed"))
-    assert seen["rows"] == 2240
+    assert seen["rows"] == 6000
     tables.write_readings(fleet.readings, str(tmp_path / "sorted"))
-    assert spark.read.parquet(str(tmp_path / "sorted")).count() == 2240
+    assert spark.read.parquet(str(tmp_path / "sorted")).count() == 6000
 
 
 def test_csv_round_trip(spark, tmp_path):
@@ -125,7 +125,7 @@ def test_view_and_table_function(spark, fleet):
     sql_surface.register_alert_function(spark)
     n = spark.sql("SELECT count(*) FROM maintenance_alerts('FD001', 30)").first()[0]
     assert n == fleet.engines.where("dataset = 'FD001'").count()
-    assert spark.sql("SELECT count(*) FROM v_engine_health WHERE health_status = 'DANGER'").first()[0] == 300
+    assert spark.sql("SELECT count(*) FROM v_engine_health WHERE health_status = 'DANGER'").first()[0] == 780  # 30 in each engine
 
 
 def test_shared_folder_comes_from_the_session(spark):

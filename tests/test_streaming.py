@@ -48,7 +48,7 @@ def test_latest(spark, folder, batch, tmp_path):
         "health_status", health.health_status(F.col("rul"), "HEALTHY")
     )
     assert same(out, want)
-    assert len(list((tmp_path / "table").glob("batch=*"))) == BATCHES
+    assert len(list((tmp_path / "table").glob("batch=[0-9]*"))) == BATCHES
 
 
 @pytest.mark.parametrize("snapshot_every", [2, 20])
@@ -84,3 +84,15 @@ def test_repeated_batch_overwrites_itself(spark, tmp_path):
     for _ in range(2):
         feeds.write_batch(spark.range(3), str(tmp_path), 0)
     assert spark.read.parquet(str(tmp_path)).count() == 3
+
+
+def test_a_table_of_several_files_and_an_empty_one(spark, sf_dir, batch, tmp_path):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    feed = lambda name: feeds.read_feed(spark, str(tmp_path / name))
+    out = live.stream_kpis(spark, feed("events.parquet"), str(tmp_path / "k"))
+    assert out.agg(F.sum("readings")).first()[0] == batch.count()
+    assert live.stream_rolling(spark, feed("events.parquet"), str(tmp_path / "r")).count() == batch.count()
+    events.where("false").write.parquet(str(tmp_path / "none.parquet"))
+    for n, build in enumerate((live.stream_latest, live.stream_alerts, live.stream_rolling, live.stream_kpis)):
+        assert build(spark, feed("none.parquet"), str(tmp_path / f"e{n}")).count() == 0
