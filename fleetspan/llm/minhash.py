@@ -11,8 +11,9 @@ class is searched once, however many copies it has. The coordinates are cut into
 bands; classes that agree in a band are candidates. Each class is checked
 against the hub of each of its bands (the class that meets most others), on the
 full sets, and linked classes are joined to components. Pairs of one band that
-are still in different components are checked as well, unless their sizes and
-the shingles that only one class has rule a link out. So no candidate that could
+are still in different components are checked as well, unless their sizes, the
+shingles that only one class has, or the rare ones they don't share rule a link
+out. So no candidate that could
 change a component is left out, and a band with thousands of near copies costs
 one check each rather than one for each pair.
 
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetspan.llm.graph import components
@@ -38,6 +39,8 @@ SHINGLE = 5
 SIMILARITY = 80
 """In hundredths."""
 BANDS, ROWS = 24, 4
+RARE = 100
+"""Classes that may share a rare shingle, at most."""
 
 
 def _permuted(x: np.ndarray, out: np.ndarray) -> np.ndarray:
@@ -156,6 +159,40 @@ def _unsettled(keyed: DataFrame, parts: DataFrame, sets: DataFrame, similarity:
     return staged(rest.join(staged(mixed_bands(rest).select("band"), "mixed"), "band"), "unsettled")
 
 
+def _pairs_left(rest: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a < b) of unsettled classes in different components that could be linked.
+
+    A shingle is rare if at most ``RARE`` of these classes have it. If two classes
+    could not be linked by the other shingles of one of them, they must share a
+    rare one, and one of the first few in the order of rareness. So such partners
+    are found by rare shingles, a bounded number for each; the others meet in bands.
+    """
+    members = staged(rest.groupBy("node").agg(F.first("n").alias("n"), F.first("part").alias("part")), "members")
+    each = sets.join(members, "node").select("node", "n", "part", F.explode("shingles").alias("shingle"))
+    rare = staged(each.groupBy("shingle").agg(F.count("*").alias("classes")).where(f"classes <= {RARE}"), "rare")
+    rare = staged(each.join(rare, "shingle"), "rare-of")
+    order = Window.partitionBy("node").orderBy("classes", "shingle")
+    smallest = F.ceil(F.col("n") * similarity / 100)
+    needed = F.col("n") - F.ceil((F.col("n") + smallest) * similarity / (100 + similarity)) + 1
+    asking = rare.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= needed)
+    asking = asking.select("shingle", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("part_a"))
+    asked = rare.select("shingle", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("part_b"))
+    sized = f"100 * least(n_a, n_b) >= {similarity} * greatest(n_a, n_b)"
+    by_rare = asking.join(asked, "shingle").where("part_a <> part_b").where(sized).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    counts = staged(rare.groupBy("node").agg(F.count("*").alias("rare")), "rare-counts")
+    rest = rest.join(counts, "node", "left").select("band", "node", "n", "part", F.coalesce("rare", F.lit(0)).alias("rare"))
+    rest = staged(rest, "rest")
+    bands = rest.groupBy("band").agg(F.min("n").alias("least"))
+    rest = staged(rest.join(staged(bands, "least"), "band").where(f"{100 + similarity} * (n - rare) >= {similarity} * (n + least)"), "rest")
+    still = rest.groupBy("band").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("band")
+    rest = staged(rest.join(staged(still, "mixed"), "band"), "rest")
+    other = rest.select("band", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("rare").alias("rare_b"), F.col("part").alias("part_b"))
+    left = rest.select("band", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("rare").alias("rare_a"), F.col("part").alias("part_a"))
+    possible = f"{100 + similarity} * least(n_a - rare_a, n_b - rare_b) >= {similarity} * (n_a + n_b)"
+    in_band = left.join(other, "band").where("a < b and part_a <> part_b").where(possible).select("a", "b")
+    return in_band.union(by_rare).distinct()
+
+
 def near_components(docs: DataFrame, k: int, similarity: int, bands: int, rows: int) -> DataFrame:
     """row, doc_id, n_shingles and component_id for rows (row, doc_id, text)."""
     scan = staged(docs.mapInArrow(_scan(k, bands, rows), "row long, doc_id long, n long, node long, bands array<long>"), "signatures")
@@ -179,10 +216,7 @@ def near_components(docs: DataFrame, k: int, similarity: int, bands: int, rows:
     links = staged(_linked(stars, sets, similarity), "links")
     parts = components(links)
     rest = _unsettled(keyed.select("band", "node", "n"), parts, sets, similarity)
-    other = rest.select("band", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("own").alias("own_b"), F.col("part").alias("part_b"))
-    pairs = rest.select("band", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("own").alias("own_a"), F.col("part").alias("part_a"))
-    possible = f"{100 + similarity} * least(n_a - own_a, n_b - own_b) >= {similarity} * (n_a + n_b)"
-    pairs = pairs.join(other, "band").where("a < b and part_a <> part_b").where(possible).select("a", "b").distinct()
+    pairs = staged(_pairs_left(rest, sets, similarity), "pairs")
     more = staged(_linked(pairs, sets, similarity), "more-links")
     if not more.isEmpty():
         parts = components(links.union(more))
