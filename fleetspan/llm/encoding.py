@@ -71,6 +71,7 @@ class Transducer:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self._pattern = regex.compile(split["pattern"]["Regex"].replace(r"\s", _SPACE))
         self._letters, self._suffix = byte_letters(), suffix
+        self._empty = False  # whether some chunk had no token
         self.chunks = Memo(self._chunk)
 
     @cached_property
@@ -115,6 +116,7 @@ class Transducer:
         return symbols[:-1] + chr(ord(symbols[-1]) + END)
 
     def _part(self, ids: list[int]) -> tuple[int, str, str]:
+        self._empty = self._empty or not ids
         return len(ids), " ".join(map(str, ids)), " ".join([self.strings[i] for i in ids])
 
     def _chunk(self, chunk: str) -> tuple[int, str, str]:
@@ -159,7 +161,7 @@ class Transducer:
                     found.append((1, str(self.special[piece]), piece))
                 else:
                     found += map(self.chunks.__getitem__, piece)
-            yield [p for p in found if p[0]]
+            yield [p for p in found if p[0]] if self._empty else found
 
     def parts(self, text: str) -> list[tuple[int, str, str]]:
         return next(self.parts_of([text]))
@@ -233,9 +235,10 @@ def encoding_digests(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
         for batch in pieces(batches):
             count, ids, decoded = [], [], []
             for parts in coder.parts_of([t or "" for t in batch.column("text").to_pylist()]):
-                count.append(sum(p[0] for p in parts))
-                ids.append(sha(" ".join([p[1] for p in parts])))
-                decoded.append(sha(" ".join([p[2] for p in parts])))
+                numbers, id_texts, strings = zip(*parts, strict=True) if parts else ((), (), ())
+                count.append(sum(numbers))
+                ids.append(sha(" ".join(id_texts)))
+                decoded.append(sha(" ".join(strings)))
             arrays = [batch.column("doc_id"), pa.array(count, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
             yield pa.record_batch(arrays, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
