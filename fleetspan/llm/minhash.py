@@ -185,11 +185,12 @@ def _pairs_left(rest: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     bands = rest.groupBy("band").agg(F.min("n").alias("least"))
     rest = staged(rest.join(staged(bands, "least"), "band").where(f"{100 + similarity} * (n - rare) >= {similarity} * (n + least)"), "rest")
     still = rest.groupBy("band").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("band")
-    rest = staged(rest.join(staged(still, "mixed"), "band"), "rest")
-    other = rest.select("band", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("rare").alias("rare_b"), F.col("part").alias("part_b"))
-    left = rest.select("band", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("rare").alias("rare_a"), F.col("part").alias("part_a"))
+    rest = rest.join(staged(still, "mixed"), "band")
+    rest = staged(rest.withColumn("bands", F.collect_set("band").over(Window.partitionBy("node"))), "rest")
+    side = lambda x: rest.select("band", F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "rare", "part", "bands")])
     possible = f"{100 + similarity} * least(n_a - rare_a, n_b - rare_b) >= {similarity} * (n_a + n_b)"
-    in_band = left.join(other, "band").where("a < b and part_a <> part_b").where(possible).select("a", "b")
+    once = "band = array_min(array_intersect(bands_a, bands_b))"  # of the bands that a pair shares one names it
+    in_band = side("a").join(side("b"), "band").where(f"a < b and part_a <> part_b and {possible} and {once}").select("a", "b")
     return in_band.union(by_rare).distinct()
 
 
