@@ -15,8 +15,10 @@ edge form the path through it; its key is the hash of all their words.
    One occurrence of each distinct path goes back to its source coordinates,
    and its windows are compared by 128-bit hashes.
 
-Counts are combined before they are shuffled and joined back to occurrences,
-so a passage that a third of all documents share is spread over tasks. Hashes
+Occurrences of one path inside one document travel as one row, so a line that
+a document repeats thousands of times costs one. Counts are combined before they
+are shuffled and joined back to these rows, so a passage that a third of all
+documents share is spread over tasks. Hashes
 stand for words (64 bits for edges and paths, 128 for windows).
 
 Nulls and empty texts have no words. Repeated rows are documents of their own:
@@ -37,7 +39,7 @@ from fleetspan.plans.shared import staged
 
 WINDOW = 35
 EDGE = 8
-_SCAN = "edge long, path long, at long, row long, doc_id long, n_words long, sha256 string"
+_SCAN = "edge long, path long, at long, others array<long>, row long, doc_id long, n_words long, sha256 string"
 _KEPT = "row long, n_removed long, sha256 string, text string"
 
 
@@ -72,25 +74,42 @@ def _paths(words, window: int, k: int):
     return kmers[at], path, first, count
 
 
+def _by_document(doc: np.ndarray, edge: np.ndarray, path: np.ndarray, at: np.ndarray):
+    """One of each (document, edge, path): its index, its first place, and its other places (null if none)."""
+    order = np.lexsort((path, edge, doc))
+    doc, edge, path, at = doc[order], edge[order], path[order], at[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (edge[1:] != edge[:-1]) | (path[1:] != path[:-1])
+    head = np.flatnonzero(new)
+    more = np.diff(np.append(head, len(new))) - 1
+    bounds = pa.array(np.append(0, np.cumsum(more)).astype(np.int32))
+    others = pa.ListArray.from_arrays(bounds, pa.array(at[~new]), mask=pa.array(more == 0))
+    return order[head], pa.array(at[head]), others
+
+
 def _scan(window: int, k: int):
+    places = pa.list_(pa.int64())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([(c, pa.string() if c == "sha256" else pa.int64()) for c in ("edge", "path", "at", "row", "doc_id", "n_words", "sha256")])
+        kinds = {"sha256": pa.string(), "others": places}
+        schema = pa.schema([(c, kinds.get(c, pa.int64())) for c in ("edge", "path", "at", "others", "row", "doc_id", "n_words", "sha256")])
         for piece in pieces(batches):
             words = words_of(piece.column("text"))
             docs = piece.num_rows
             none = pa.nulls(docs, pa.int64())
             sha = [hashlib.sha256(b" ".join(words.bytes_of(d).split())).hexdigest() for d in range(docs)]
             n_words = pa.array(np.diff(words.first))
-            yield pa.record_batch([none, none, none, piece.column("row"), piece.column("doc_id"), n_words, pa.array(sha, pa.string())], schema=schema)
+            lists = pa.nulls(docs, places)
+            yield pa.record_batch([none, none, none, lists, piece.column("row"), piece.column("doc_id"), n_words, pa.array(sha, pa.string())], schema=schema)
             found = _paths(words, window, k)
             if found is None:
                 continue
             edge, path, first, count = found
             doc = words.doc[first]
-            none = pa.nulls(len(edge), pa.int64())
-            at = ((first - words.first[doc]) << 24) | count
-            row = piece.column("row").take(pa.array(doc))
-            yield pa.record_batch([signed(edge), signed(path), pa.array(at), row, none, none, none.cast(pa.string())], schema=schema)
+            one, at, others = _by_document(doc, edge, path, ((first - words.first[doc]) << 24) | count)
+            none = pa.nulls(len(one), pa.int64())
+            row = piece.column("row").take(pa.array(doc[one]))
+            yield pa.record_batch([signed(edge[one]), signed(path[one]), at, others, row, none, none, none.cast(pa.string())], schema=schema)
 
     return run
 
@@ -152,19 +171,21 @@ def _kept(window: int, with_text: bool):
 def _removals(docs: DataFrame, window: int, k: int, with_text: bool) -> tuple[DataFrame, DataFrame]:
     """All documents with their whole digests, and what is left of those that lose words."""
     scan = staged(docs.mapInArrow(_scan(window, k), _SCAN), "edges")
-    edges = scan.where(F.col("path").isNotNull()).select("edge", "path", "at", "row")
-    known = edges.groupBy("edge").agg(F.count("*").alias("n"), F.min("path").alias("low"), F.max("path").alias("high"))
+    edges = scan.where(F.col("path").isNotNull()).select("edge", "path", "at", "others", "row")
+    occurrences = F.sum(1 + F.coalesce(F.array_size("others"), F.lit(0))).alias("n")
+    known = edges.groupBy("edge").agg(occurrences, F.min("path").alias("low"), F.max("path").alias("high"))
     known = known.where("n > 1").select("edge", (F.col("low") == F.col("high")).alias("straight"))
     known = staged(known, "known")  # a table of its own, so the join can split an edge that many documents share
     again = staged(edges.join(known, "edge"), "repeated")
     forks = again.where(~F.col("straight"))
-    paths = forks.groupBy("edge", "path").agg(F.count("*").alias("n"), F.min(F.struct("row", "at")).alias("one"))
+    paths = forks.groupBy("edge", "path").agg(occurrences, F.min(F.struct("row", "at")).alias("one"))
     paths = staged(paths, "paths")
     copied = forks.join(paths.where("n > 1").select("edge", "path"), ["edge", "path"])
-    whole = again.where("straight").select("row", "at").union(copied.select("row", "at")).distinct()
+    whole = again.where("straight").select("row", "at", "others").union(copied.select("row", "at", "others")).distinct()
+    whole = whole.select("row", F.concat(F.array("at"), F.coalesce("others", F.array().cast("array<long>"))).alias("places"))
     look = paths.select("one.row", F.struct(F.col("one.at").alias("at"), (F.col("n") == 1).alias("single")).alias("path_at"))
-    marks = whole.select("row", "at", F.lit(None).cast(look.schema["path_at"].dataType).alias("path_at")).union(look.select("row", F.lit(None).cast("long"), "path_at"))
-    marks = marks.groupBy("row").agg(F.collect_list("at").alias("spans"), F.collect_list("path_at").alias("paths"))
+    marks = whole.select("row", "places", F.lit(None).cast(look.schema["path_at"].dataType).alias("path_at")).union(look.select("row", F.lit(None).cast("array<long>"), "path_at"))
+    marks = marks.groupBy("row").agg(F.flatten(F.collect_list("places")).alias("spans"), F.collect_list("path_at").alias("paths"))
     found = docs.select("row", "text").join(marks, "row")
     kind = "row long, text string, spans array<long>, windows array<struct<at: long, single: boolean, h1: long, h2: long>>"
     found = staged(found.mapInArrow(_windows(window), kind), "windows")
