@@ -54,6 +54,16 @@ def test_substring_dedup(docs, window):
         assert got == Counter((i, " ".join(k)) for (i, _), (_, k) in zip(rows, cut([t for _, t in rows], window), strict=True))
 
 
+def test_substring_dedup_of_a_line_repeated_inside_documents(spark):
+    line = " ".join(f"w{i}" for i in range(12))
+    own = [" ".join(f"d{d}x{i}" for i in range(50)) for d in range(4)]
+    texts = [f"{own[0]} {' '.join([line] * 40)} end", " ".join([line] * 9), f"{line} {own[1]} {line}", f"{own[2]} {line} {line} {own[3]}", own[3]]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, texts[1]])] + [(1, texts[1])], "doc_id long, text string")
+    rows = rows_of(docs)
+    want = Counter((i, len(w), len(w) - len(k), sha(" ".join(k))) for (i, _), (w, k) in zip(rows, cut([t for _, t in rows], 35), strict=True))
+    assert Counter(tuple(r) for r in substring.substring_dedup(docs).collect()) == want
+
+
 @BOTH
 def test_token_counts(docs):
     import public_tokenizers
