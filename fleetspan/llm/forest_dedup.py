@@ -11,8 +11,18 @@ top fitted on a sample of its own, until no cell is larger; in a cell the
 recursion goes on to leaves of ``LEAF``. Leaves are compared within; every pair
 is checked by its cosine in double precision, and links are joined to components.
 
-Links are counted for different vectors (a pair is one row, however many leaves
-found it); copies of a vector add to the counts without a row for each pair.
+Where a group is larger than a leaf and its vectors are all near each other, a
+cut parts pairs at random, so the trees lose links. A node that has more than
+``DENSE`` links in one leaf therefore gets its links by comparison instead.
+Pivots are taken until each dense node is close to one (a sample of ``SAMPLE``
+open nodes a round; the pivots are held in the driver and sent to the tasks). By
+the triangle inequality all links of a pivot's group lie in a ball around it;
+group and ball are compared whole, block against block, one task for a pair of
+blocks. That finds every link of a dense node. Only sums and a link to the pivot
+leave a block, so a group makes no row for each pair.
+
+Other links are counted for different vectors (a pair is one row, however many
+leaves found it); copies of a vector add to the counts without a row for each pair.
 
 Null, zero and non-finite vectors link with nothing. Vectors of different lengths
 never link. Repeated rows are copies. An empty table gives an empty result.
@@ -37,6 +47,10 @@ CELL = 8192
 LEAF = 512
 SPILL = 0.06
 """Share of a node's rows on either side of a cut that go to both sides."""
+DENSE = LEAF // 4
+"""A node with more links than this in one leaf is compared with all that can be near it."""
+BLOCK, LEAST_BLOCK, BLOCKS = 8192, 256, 8
+"""Rows of a block at most; a group of over ``LEAST_BLOCK`` rows is cut into blocks, ``BLOCKS`` as long as none gets too large."""
 TOP_LEAF = 64
 """Sample rows in a cell of a top, at least."""
 
@@ -78,9 +92,9 @@ def send_down(x: np.ndarray, tree: int, cell: int, cuts: dict[int, tuple[float,
         open_ += [(2 * at, rows[along <= left]), (2 * at + 1, rows[along >= right])]
 
 
-def leaf_pairs(x: np.ndarray, tree: int, cell: int, cosine: float, leaf: int = LEAF) -> np.ndarray:
-    """Pairs of rows (i < j) that share a leaf and are close, each once."""
-    pairs, open_, depth = [np.zeros((2, 0), int)], [(cell, np.arange(len(x)))], 0
+def leaf_pairs(x: np.ndarray, tree: int, cell: int, cosine: float, leaf: int = LEAF, dense: int = DENSE) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows (i < j) that share a leaf and are close, each once, and the dense rows; pairs of rows dense in a leaf are left out there."""
+    pairs, crowded, open_ = [np.zeros((2, 0), int)], np.zeros(len(x), bool), [(cell, np.arange(len(x)))]
     while open_:
         at, rows = open_.pop()
         if len(rows) > leaf:
@@ -89,12 +103,17 @@ def leaf_pairs(x: np.ndarray, tree: int, cell: int, cosine: float, leaf: int = L
             if max(map(len, sides)) < 0.9 * len(rows):
                 open_ += [(2 * at, sides[0]), (2 * at + 1, sides[1])]
                 continue
-        for a in range(0, len(rows), leaf):  # more than one block only where a cut didn't part the rows
-            for b in range(a, len(rows), leaf):
-                close = np.argwhere(x[rows[a : a + leaf]] @ x[rows[b : b + leaf]].T >= cosine)
-                i, j = rows[a + close[:, 0]], rows[b + close[:, 1]]
-                pairs.append(np.stack([i, j])[:, i < j] if a == b else np.stack([np.minimum(i, j), np.maximum(i, j)]))
-    return np.unique(np.concatenate(pairs, axis=1), axis=1)
+        blocks = [rows[a : a + leaf] for a in range(0, len(rows), leaf)]  # more than one only where a cut didn't part the rows
+        for k, block in enumerate(blocks):
+            crowd = (x[block] @ x[block].T >= cosine).sum(1) > dense + 1
+            crowded[block[crowd]] = True
+            blocks[k] = block[~crowd]
+        for k, first in enumerate(blocks):
+            for second in blocks[k:]:
+                close = np.argwhere(x[first] @ x[second].T >= cosine)
+                i, j = first[close[:, 0]], second[close[:, 1]]
+                pairs.append(np.stack([i, j])[:, i < j] if first is second else np.stack([np.minimum(i, j), np.maximum(i, j)]))
+    return np.unique(np.concatenate(pairs, axis=1), axis=1), np.flatnonzero(crowded)
 
 
 def _cells(tops: dict[int, dict[int, dict[int, tuple[float, float]]]]):
@@ -161,27 +180,146 @@ def _cut_again(rows: DataFrame, most: int) -> DataFrame:
             return rows
 
 
-def links(nodes: DataFrame, cosine: float = COSINE, cell: int = CELL) -> DataFrame:
-    """Pairs (a < b) of nodes (node, vector; all different) found to be close."""
+def _by_length(batches: Iterator[pa.RecordBatch], step: int = 2048) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Rows with vectors of one length, a bounded number at a time."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, step):
+            batch = whole.slice(at, step)
+            sizes = batch.column("vector").value_lengths().to_numpy()
+            for size in np.unique(sizes):
+                yield int(size), batch.filter(pa.array(sizes == size))
+
+
+def _cover(x: np.ndarray, cosine: float) -> np.ndarray:
+    """Rows that every row is close to, those close to most first."""
+    near = np.concatenate([x[a : a + LEAF] @ x.T >= cosine for a in range(0, len(x), LEAF)])
+    free, chosen = np.ones(len(x), bool), []
+    for at in np.argsort(-near.sum(1), kind="stable"):
+        if free[at]:
+            chosen.append(at)
+            free &= ~near[at]
+            free[at] = False
+    return np.array(chosen)
+
+
+def _groups(open_: DataFrame, cosine: float) -> tuple[DataFrame, dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """A close pivot (and the cosine to it) for each node, and the pivots by vector length: nodes and vectors."""
+    pivots, members = {}, None
+    while True:
+        sample = open_.orderBy(F.xxhash64("node", F.lit(2)), "node").limit(SAMPLE).toPandas()  # SAMPLE rows at most
+        if not len(sample):
+            return members, {size: (np.concatenate([n for n, _ in new]), np.concatenate([x for _, x in new])) for size, new in pivots.items()}
+        fresh = {}
+        for size, part in sample.groupby(sample["vector"].map(len)):
+            x = np.stack(part["vector"].to_numpy())
+            chosen = _cover(x, cosine)
+            fresh[int(size)] = part["node"].to_numpy()[chosen], x[chosen]
+            pivots.setdefault(int(size), []).append(fresh[int(size)])
+
+        def assign(batches: Iterator[pa.RecordBatch], fresh=fresh) -> Iterator[pa.RecordBatch]:
+            for size, batch in _by_length(batches):
+                names, x = fresh.get(size, (np.zeros(0, np.int64), np.zeros((0, size))))
+                pivot, along = np.zeros(batch.num_rows, np.int64), np.full(batch.num_rows, -2.0)
+                if len(names):
+                    product = matrix(batch.column("vector")) @ x.T
+                    product[batch.column("node").to_numpy()[:, None] == names[None, :]] = 2
+                    best = product.argmax(1)
+                    pivot, along = names[best], product[np.arange(len(best)), best]
+                yield pa.record_batch([batch.column("node"), batch.column("vector"), pa.array(pivot, mask=along < cosine), pa.array(np.minimum(along, 1))], names=["node", "vector", "pivot", "along"])
+
+        marked = staged(open_.mapInArrow(assign, "node long, vector array<double>, pivot long, along double"), "groups")
+        found = marked.where("pivot is not null").select("node", "pivot", "along")
+        members = found if members is None else members.union(found)
+        open_ = marked.where("pivot is null").select("node", "vector")
+
+
+def _balls(pivots: dict[int, tuple[np.ndarray, np.ndarray]], least: dict[int, float], cosine: float):
+    """Rows to a row for each ball they lie in: what is close to a row of the pivot's group is in its ball."""
+    bounds = {size: np.cos(np.minimum(np.pi, np.arccos(np.clip([least[int(n)] for n in names], -1, 1)) + np.arccos(min(cosine, 1)) + 1e-6)) for size, (names, _) in pivots.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for size, batch in _by_length(batches):
+            if size not in pivots:
+                continue
+            names, x = pivots[size]
+            rows, balls = np.nonzero(matrix(batch.column("vector")) @ x.T >= bounds[size])
+            for a in range(0, len(rows), 8192):
+                kept = batch.take(pa.array(rows[a : a + 8192]))
+                yield pa.record_batch([pa.array(names[balls[a : a + 8192]]), *(kept.column(c) for c in ("node", "vector", "copies", "pivot"))], names=["ball", "node", "vector", "copies", "pivot"])
+
+    return run
+
+
+def _dense_links(unit: DataFrame, crowded: DataFrame, cosine: float) -> DataFrame:
+    """(node, n, to) for all links of dense nodes: parts of a node's sum of copies, each with a node of its component.
+
+    unit: node, vector, copies. Links of other nodes count here only where the other end is dense.
+    """
+    members, pivots = _groups(staged(unit.join(crowded, "node", "left_semi").select("node", "vector"), "dense"), cosine)
+    least = {r["pivot"]: r["low"] for r in members.groupBy("pivot").agg(F.min("along").alias("low")).collect()}  # a row for each pivot
+    marked = unit.select("node", "vector", "copies").join(members.select("node", "pivot"), "node", "left")
+    rows = staged(marked.mapInArrow(_balls(pivots, least, cosine), "ball long, node long, vector array<double>, copies long, pivot long"), "balls")
+    blocks = lambda n: F.greatest(F.least(F.lit(BLOCKS), F.ceil(n / LEAST_BLOCK)), F.ceil(n / BLOCK))
+    sizes = rows.groupBy("ball").agg(blocks(F.count("*")).alias("width"), blocks(F.count_if(F.col("pivot") == F.col("ball"))).alias("height"))
+    rows = rows.join(F.broadcast(sizes), "ball")  # a row for each pivot
+    own = lambda k: F.pmod(F.xxhash64("node", F.lit(5)), F.col(k))
+    each = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.col(k) - 1))
+    columns = ["ball", "node", "vector", "copies", "pivot"]
+    group = rows.where("pivot = ball").select(*columns, F.lit(True).alias("inside"), own("height").alias("i"), each("width").alias("j"))
+    around = rows.select(*columns, F.lit(False).alias("inside"), own("width").alias("j"), each("height").alias("i"))
+
+    def count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        inside = table.column("inside").to_numpy().astype(bool)
+        x, node, copies = matrix(table.column("vector")), table.column("node").to_numpy(), table.column("copies").to_numpy()
+        free = table.column("pivot").is_null().to_numpy()
+        pivot = table.column("pivot").fill_null(0).to_numpy()
+        left, right = np.flatnonzero(inside), np.flatnonzero(~inside)
+        sums, others, met = np.zeros(len(left), np.int64), np.zeros(len(right), np.int64), np.zeros(len(right), bool)
+        for a in range(0, len(left), LEAF):
+            at = left[a : a + LEAF]
+            close = (x[at] @ x[right].T >= cosine) & (node[at][:, None] != node[right][None, :])
+            sums[a : a + LEAF] = close @ copies[right]
+            others += copies[at] @ close
+            met |= close.any(0)
+        left, sums = left[sums > 0], sums[sums > 0]
+        alone = met & free[right]
+        touched = np.unique(pivot[right[met & ~free[right]]])
+        to = np.concatenate([node[left], node[right[alone]], touched])
+        n = np.concatenate([sums, others[alone], np.zeros(len(touched), np.int64)])
+        return pa.table({"node": to, "n": n, "to": np.full(len(to), key[0].as_py(), np.int64)})
+
+    units = group.unionByName(around).groupBy("ball", "i", "j")
+    return staged(units.applyInArrow(count, "node long, n long, to long"), "dense-links")
+
+
+def links(nodes: DataFrame, cosine: float = COSINE, cell: int = CELL) -> tuple[DataFrame, DataFrame | None]:
+    """Links of nodes (node, vector, copies; all different): close pairs (a < b) of nodes that aren't dense, and sums for the others (``_dense_links``)."""
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
     largest = F.array_max(F.transform("vector", F.abs))
     scaled = nodes.withColumn("vector", F.transform("vector", lambda x: x / largest))  # lengths neither vanish nor overflow
-    unit = staged(scaled.select("node", F.transform("vector", lambda x: x / length).alias("vector")), "units")
+    unit = staged(scaled.select("node", F.transform("vector", lambda x: x / length).alias("vector"), "copies"), "units")
     tops = {}
     sample = unit.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(SAMPLE).toPandas()  # SAMPLE rows at most
     for size, part in sample.groupby(sample["vector"].map(len)) if len(sample) else ():
         x = np.stack(part["vector"].to_numpy())
         tops[int(size)] = {tree: fit_top(x, tree, 1) for tree in range(TREES)}
-    rows = _cut_again(staged(unit.mapInArrow(_cells(tops), _CELL), "cells"), cell)
+    rows = _cut_again(staged(unit.select("node", "vector").mapInArrow(_cells(tops), _CELL), "cells"), cell)
 
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         node = table.column("node").to_numpy()
-        pairs = leaf_pairs(matrix(table.column("vector")), key[1].as_py(), key[2].as_py(), cosine)
+        pairs, crowded = leaf_pairs(matrix(table.column("vector")), key[1].as_py(), key[2].as_py(), cosine)
         a, b = node[pairs[0]], node[pairs[1]]
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        none = np.zeros(len(crowded), np.int64)
+        b = pa.array(np.concatenate([np.maximum(a, b), none]), mask=np.arange(len(b) + len(none)) >= len(b))
+        return pa.table({"a": np.concatenate([np.minimum(a, node[pairs[1]]), node[crowded]]), "b": b})
 
-    found = rows.groupBy("size", "tree", "cell").applyInArrow(compare, "a long, b long")
-    return found.distinct()
+    found = staged(rows.groupBy("size", "tree", "cell").applyInArrow(compare, "a long, b long").distinct(), "found")
+    pairs, crowded = found.where("b is not null"), found.where("b is null").select(F.col("a").alias("node"))
+    if crowded.isEmpty():
+        return pairs, None
+    for end in ("a", "b"):
+        pairs = pairs.join(crowded.withColumnRenamed("node", end), end, "left_anti")
+    return staged(pairs.select("a", "b"), "links"), _dense_links(unit, crowded, cosine)
 
 
 def near_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", cosine: float = COSINE, cell: int = CELL) -> DataFrame:
@@ -189,10 +327,14 @@ def near_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
     rows = staged(rows_of(df, vec_id, embedding), "vectors")
     nodes = rows.where("node is not null").groupBy("node").agg(F.first("vector").alias("vector"), F.count("*").alias("copies"), F.min("vec_id").alias("low"))
     nodes = staged(nodes, "nodes")
-    pairs = staged(links(nodes.select("node", "vector"), cosine, cell), "links")
+    pairs, dense = links(nodes.select("node", "vector", "copies"), cosine, cell)
     both = pairs.union(pairs.select(F.col("b"), F.col("a")))
     copies = nodes.select(F.col("node").alias("b"), "copies")
-    linked = both.join(copies, "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("others"))
+    counts = both.join(copies, "b").select(F.col("a").alias("node"), F.col("copies").alias("n"))
+    if dense is not None:
+        counts = counts.union(dense.select("node", "n"))
+        pairs = pairs.union(dense.select("node", "to"))
+    linked = counts.groupBy("node").agg(F.sum("n").alias("others"))
     parts = components(pairs)
     known = nodes.select("node", "copies", "low").join(linked, "node", "left").join(parts, "node", "left")
     known = known.withColumn("part", F.coalesce("component", "node"))

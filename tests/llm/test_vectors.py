@@ -101,6 +101,24 @@ def test_recall_on_the_test_table(spark, sf_dir):
     assert links >= 0.9 * ((unit @ unit.T >= 0.9).sum() - len(x))
 
 
+def test_forest_in_a_group_of_near_vectors(spark):
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=64)
+    spread = rng.normal(size=(12000, 64)) * np.where(np.arange(12000) < 11000, 0.3, 0.6)[:, None]
+    x = np.concatenate([centre + spread, rng.normal(size=(2000, 64))]).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(len(x) + i, x[5].tolist()) for i in range(3)]
+    unit = np.array([v for _, v in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = np.concatenate([(unit[a : a + 1000] @ unit.T >= 0.9).sum(1) - 1 for a in range(0, len(unit), 1000)])
+    assert near.max() > 10000
+    got = {r["vec_id"]: r for r in forest_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    assert len(got) == len(rows)
+    found = np.array([got[i]["n_links"] for i in range(len(rows))])
+    assert (found <= near).all() and found.sum() >= 0.999 * near.sum()
+    crowd = near > 1000
+    assert (found[crowd] == near[crowd]).all() and len({got[i]["component_id"] for i in np.flatnonzero(crowd)}) == 1
+
+
 def test_empty_tables(spark):
     nothing = spark.createDataFrame([], SCHEMA)
     assert forest_dedup.near_vectors(nothing).count() == 0
