@@ -195,7 +195,7 @@ def _pairs_left(rest: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
 
 def near_components(docs: DataFrame, k: int, similarity: int, bands: int, rows: int) -> DataFrame:
-    """row, doc_id, n_shingles and component_id for rows (row, doc_id, text)."""
+    """row, doc_id, n_shingles, component_id and part (the component itself; null for an empty set) for rows (row, doc_id, text)."""
     scan = staged(docs.mapInArrow(_scan(k, bands, rows), "row long, doc_id long, n long, node long, bands array<long>"), "signatures")
     full = scan.where("n > 0")
     classes = full.groupBy("node").agg(F.min("doc_id").alias("low"), F.min("row").alias("row"), F.first("n").alias("n"), F.first("bands").alias("bands"))
@@ -223,9 +223,9 @@ def near_components(docs: DataFrame, k: int, similarity: int, bands: int, rows:
         parts = components(links.union(more))
     labelled = classes.select("node", "low").join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
     names = labelled.groupBy("part").agg(F.min("low").alias("component_id"))
-    named = labelled.join(names, "part").select("node", "component_id")
+    named = labelled.join(names, "part").select("node", "part", "component_id")
     joined = scan.select("row", "doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")).join(named, "node", "left")
-    return joined.select("row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return joined.select("row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "part")
 
 
 def _rows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -242,9 +242,8 @@ def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: in
     """The rows of one document of each group; of rows that repeat an id and a text one stays."""
     found = near_components(_rows(df, doc_id, text), k, similarity, bands, rows)
     key = fresh(df, "row_key")
-    whole = found.where(F.col("n_shingles") > 0).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    best = whole.groupBy(F.coalesce("component_id", F.lit(0)).alias("c"), F.col("doc_id").isNull().alias("u"), F.when(F.col("doc_id").isNull(), F.col("row")).alias("v"))
-    kept = best.agg(F.min("row").alias(key)).select(key)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row"))
+    kept = found.where(F.col("n_shingles") > 0).groupBy("part").agg(first.alias("first")).select(F.col("first.row").alias(key))
     empty = found.where(F.col("n_shingles") == 0).select(F.col("row").alias(key)).distinct()
     rows_ = df.withColumn(key, row_key(doc_id, text))
     return rows_.join(kept.union(empty), key, "left_semi").dropDuplicates([key]).select(*df.columns)

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from conftest import long_text
 from fleetspan.llm import encoding, licenses, minhash, mixing, quality, sharding, substring, token_counts
 from fleetspan.llm.graph import components
 from fleetspan.llm.prefixes import Prefixes
@@ -169,6 +170,14 @@ def test_one_of_each(awkward):
     assert ids[8] == 1 and ids[9] == ids[10] == 0 and ids[1] == ids[2] == ids[3] == 1 and ids[None] == 1 and ids[14] == 1 and ids[15] == 0
 
 
+def test_one_of_each_where_components_share_an_id(spark, awkward):
+    kept = [(r["doc_id"], r["text"]) for r in minhash.one_of_each(awkward).collect()]
+    assert {t for i, t in kept if i == 4} == {"one", "another text with the same id"}
+    a, b = long_text(21, 60), long_text(22, 60)
+    df = spark.createDataFrame([(1, a), (1, b), (2, a), (2, b), (None, b), (None, "c"), (None, "d d")], "doc_id long, text string")
+    assert Counter((r["doc_id"], r["text"]) for r in minhash.one_of_each(df).collect()) == Counter([(1, a), (1, b), (None, "c"), (None, "d d")])
+
+
 def test_candidates_that_stars_miss(spark):
     """A chain in one band whose ends are apart is still one component."""
     base = [f"w{i}" for i in range(400)]
