@@ -4,7 +4,8 @@
 2. near_dedup: one document of each group of near copies stays (words in shingles
    of five, similarity of 0.8 or more).
 3. substring_dedup: words of passages that start more than once go.
-4. mixing: documents are repeated or left out so that sources meet their targets.
+4. mixing: documents are repeated or left out, always whole, so that sources come as near
+   to their targets as that allows.
 5. encoding: token ids of every text.
 
 Stages 1 to 4 return the columns they get. Nulls, empty texts, repeated rows and
@@ -31,7 +32,7 @@ def stage_substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def stage_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixture(docs)
+    return mixing.mixture(docs, whole=True)
 
 
 def stage_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

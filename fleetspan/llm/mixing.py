@@ -103,16 +103,23 @@ def mixed_sources(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     return _planned(rows, weights, epochs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def mixture(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
-    """The documents the mix takes, each as often as it is taken; one taken in part has its first words, joined by a blank."""
+def mixture(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, whole: bool = False) -> DataFrame:
+    """The documents the mix takes, each as often as it is taken; those of size 0 once.
+
+    One taken in part has its first words, joined by a blank; with ``whole`` it is taken whole
+    if at least half of it is due, else not at all, so a source ends as near to its target as it can.
+    """
     rows = staged(measured(df, doc_id, text, source), "sizes")
-    plan = _planned(rows, weights, epochs).where("taken > 0")
+    plan = _planned(rows, weights, epochs).where("taken > 0 or size = 0")
     key, full, rest, copy = (fresh(df, c) for c in ("row_key", "mix_full", "mix_rest", "mix_copy"))
-    same_row = Window.partitionBy("row").orderBy("taken")
-    plan = plan.select("row", F.row_number().over(same_row).alias("nth"), F.floor(F.col("taken") / F.col("size")).cast("int").alias(full), (F.col("taken") % F.col("size")).cast("int").alias(rest))
+    size, over = F.greatest("size", F.lit(1)), F.when(F.col("size") > 0, F.col("taken") % F.greatest("size", F.lit(1))).otherwise(0)
+    times = F.when(F.col("size") > 0, F.floor(F.col("taken") / size)).otherwise(1)
+    if whole:
+        times, over = times + F.when((over > 0) & (2 * over >= F.col("size")), 1).otherwise(0), F.lit(0)
+    plan = plan.select("row", times.alias(full), F.when(over > 0, over).cast("int").alias(rest))
     plan = plan.groupBy(F.col("row").alias(key)).agg(F.sum(full).cast("int").alias(full), F.sort_array(F.collect_list(rest)).alias(rest))
     docs = df.withColumn(key, row_key(doc_id, text)).dropDuplicates([key]).join(plan, key)
-    parts = F.concat(F.array_repeat(F.lit(0), F.col(full)), F.filter(rest, lambda n: n > 0))
+    parts = F.concat(F.array_repeat(F.lit(0), F.col(full)), rest)
     docs = docs.withColumn(copy, F.explode(parts))
     head = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(f"({WORD})"), 1), 1, F.col(copy)), " ")
     return docs.withColumn(text, F.when(F.col(copy) > 0, head).otherwise(F.col(text))).select(*df.columns)

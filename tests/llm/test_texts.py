@@ -226,6 +226,22 @@ def test_mixing(docs):
     assert words == sum(r["taken"] for r in got)
 
 
+@BOTH
+def test_mixture_of_whole_documents(docs):
+    plan, took = Counter(), Counter()
+    for r in mixing.mixed_sources(docs).collect():
+        whole, rest = divmod(r["taken"], r["size"]) if r["size"] else (1, 0)
+        plan[r["doc_id"], r["size"]] += whole + (rest > 0 and 2 * rest >= r["size"])
+    texts = set(rows_of(docs))
+    for r in mixing.mixture(docs, whole=True).collect():
+        assert (r["doc_id"], r["text"]) in texts
+        took[r["doc_id"], len(WORD.findall(r["text"] or ""))] += 1
+    assert took == +plan
+    empty = Counter((i, t) for i, t in rows_of(docs) if not WORD.findall(t or ""))
+    for whole in (True, False):
+        assert Counter((i, t) for i, t in rows_of(mixing.mixture(docs, whole=whole)) if not WORD.findall(t or "")) == empty
+
+
 @BOTH
 def test_shards(docs):
     got = sharding.balanced_shards(docs).collect()
