@@ -7,8 +7,9 @@ order of their keys until the words are used up (the last one in part).
 
 A source is not sorted in one task. Keys fall into ranges; sums over source and
 range, combined before they are shuffled, tell in which range the budget ends.
-Documents of earlier ranges are taken, those of later ones are not, and only
-that one range of each source is sorted.
+That range is cut again, between its smallest and its largest key, until it has
+``FEW`` rows at most or only equal keys. Documents of earlier ranges are taken,
+those of later ones are not, and only that last range of each source is sorted.
 
 Null and empty texts have size 0 and are never a reason to stop. A null source
 is a source of its own, the last. Repeated rows are documents of their own; equal
@@ -26,6 +27,8 @@ WEIGHTS = (5, 2, 1)
 """Of the sources in code point order, repeating."""
 EPOCHS = 3
 RANGES = 4096
+FEW = 1000
+"""Rows of a range that is not cut again."""
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -71,24 +74,52 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
     return ranked.withColumn("target", F.when(F.col("full"), F.col("most")).otherwise(F.col("level") * F.col("weight"))).select("source", "source_size", "target")
 
 
+def _same(a: str, b: str) -> Column:
+    return F.col(a).eqNullSafe(F.col(b))
+
+
+def _sums() -> list[Column]:
+    return [F.sum("size").alias("size"), F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high")]
+
+
+def _ending(sums: DataFrame, by: list[str]) -> DataFrame:
+    """Of the ranges of each source (of, range, size, n, low, high, rest, start), the one in which its rest ends, with the words before it."""
+    running = Window.partitionBy("of").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("before", F.col("start") + F.coalesce(F.sum("size").over(running), F.lit(0)))
+    return sums.where("before <= rest and rest < before + size").select(*by)
+
+
+def _last_ranges(rows: DataFrame, sums: DataFrame, plan: DataFrame) -> DataFrame:
+    """of, low and high (keys), before and n of the range in which each source's rest ends, cut until few rows are left."""
+    columns = ["of", "rest", "low", "high", "before", "n"]
+    start = sums.join(plan.select("of", "rest"), _same("source", "of")).withColumn("start", F.lit(0).cast("long"))
+    last = staged(_ending(start, columns), "last-ranges")
+    large = F.coalesce((F.col("n") > FEW) & (F.col("low") < F.col("high")), F.lit(False))
+    while not last.where(large).isEmpty():
+        wide = last.where(large).select("of", "rest", "before", F.col("low").alias("least"), F.col("high").alias("most"))
+        inside = rows.join(wide, _same("source", "of") & F.col("key").between(F.col("least"), F.col("most")))
+        place = (F.col("key") - F.col("least")) / (F.col("most") - F.col("least"))
+        finer = inside.withColumn("range", F.least(F.floor(place * RANGES), F.lit(RANGES - 1)))
+        finer = finer.groupBy("of", "rest", F.col("before").alias("start"), "range").agg(*_sums())
+        last = staged(last.where(~large).unionByName(_ending(finer, columns)), "last-ranges")
+    return last
+
+
 def _planned(rows: DataFrame, weights: tuple[int, ...], epochs: int) -> DataFrame:
     """rows (row, doc_id, source, size, key) with source_size, target and taken."""
-    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
     ranged = rows.withColumn("range", F.floor((1 - F.exp(-F.least(F.col("key"), F.lit(60.0)))) * RANGES).cast("int"))
-    sums = ranged.groupBy("source", "range").agg(F.sum("size").alias("size"))
+    sums = staged(ranged.groupBy("source", "range").agg(*_sums()), "ranges")
     plan = targets(sums.groupBy("source").agg(F.sum("size").alias("source_size")), weights, epochs)
     budget = F.floor("target").cast("long")
     turns = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     plan = plan.withColumn("turns", turns).withColumn("rest", budget - F.col("turns") * F.col("source_size"))
     plan = staged(plan.withColumnRenamed("source", "of"), "targets")
-    running = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("before", F.coalesce(F.sum("size").over(running), F.lit(0)))
-    last = sums.join(plan, same("source", "of")).where("before <= rest and rest < before + size")
-    plan = plan.join(last.select(F.col("source").alias("last_of"), F.col("range").alias("last"), "before"), same("of", "last_of"), "left").drop("last_of")
-    placed = ranged.join(plan, same("source", "of")).drop("of")
-    in_last = (F.col("range") == F.col("last")) & (F.col("rest") > F.col("before"))
+    last = _last_ranges(rows, sums, plan).select(F.col("of").alias("last_of"), "low", "high", "before")
+    plan = staged(plan.join(last, _same("of", "last_of"), "left").drop("last_of"), "plan")  # a table of its own, so its size is known
+    placed = rows.join(plan, _same("source", "of")).drop("of")
+    in_last = F.col("key").between(F.col("low"), F.col("high")) & (F.col("rest") > F.col("before"))
     early = placed.where(~F.coalesce(in_last, F.lit(False)))
-    early = early.withColumn("part", F.when((F.col("range") < F.col("last")) & (F.col("rest") > 0), F.col("size")).otherwise(0))
+    early = early.withColumn("part", F.when((F.col("key") < F.col("low")) & (F.col("rest") > 0), F.col("size")).otherwise(0))
     ordered = Window.partitionBy("source").orderBy("key", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
     late = placed.where(in_last)
     left = F.col("rest") - F.col("before") - F.coalesce(F.sum("size").over(ordered), F.lit(0))

@@ -226,6 +226,24 @@ def test_mixing(docs):
     assert words == sum(r["taken"] for r in got)
 
 
+def test_mixing_sorts_few_rows_where_weights_are_low(spark, monkeypatch):
+    """Texts of digits have the lowest weight, so 0.435 of the keys fall into the last of the first ranges."""
+    df = spark.range(8000).selectExpr("id as doc_id", "repeat('12 34 ', 1 + cast(id % 3 as int)) as text", "if(id % 2 = 0, 'a', 'b') as source")
+    sorted_, cut_ = [], mixing._last_ranges
+    monkeypatch.setattr(mixing, "_last_ranges", lambda *a: sorted_.append(cut_(*a)) or sorted_[-1])
+    got = mixing.mixed_sources(df, weights=(2, 1)).collect()
+    assert max(r["n"] for r in sorted_[0].collect()) <= mixing.FEW
+    keys = {r["doc_id"]: (r["source"], r["key"], r["size"]) for r in mixing.measured(df, "doc_id", "text", "source").collect()}
+    taken = {r["doc_id"]: r["taken"] for r in got}
+    for source, share in (("a", 2 / 3), ("b", 1 / 3)):
+        rows = sorted((k, i, n) for i, (s, k, n) in keys.items() if s == source)
+        whole = sum(n for *_, n in rows)
+        turns, rest = divmod(int(share * sum(n for *_, n in keys.values()) + 1e-6), whole)
+        for _, i, n in rows:
+            assert taken[i] == turns * n + min(n, rest)
+            rest -= min(n, rest)
+
+
 @BOTH
 def test_mixture_of_whole_documents(docs):
     plan, took = Counter(), Counter()
