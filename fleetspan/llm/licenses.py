@@ -3,8 +3,8 @@
 Templates are short license texts, each with a key phrase. Document frequencies
 of their words are counted over all documents; the rarest words of a template
 index it: posting (word -> template, position). Every place where a file has an
-index word proposes where the template would begin; places that a template's
-index words agree on are one candidate. A candidate counts if the key phrase
+index word proposes where the template would begin; each place proposed is a
+candidate, once, whether or not other index words agree. It counts if the key phrase
 stands word for word where the template has it, and its score is the share of
 the template's words, weighted by rarity, that stand at their places.
 
