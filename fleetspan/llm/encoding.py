@@ -27,7 +27,6 @@ from collections.abc import Iterable, Iterator
 from functools import cached_property, lru_cache
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +54,8 @@ class Transducer:
     """Encoder and decoder of one tokenizer file: words with ends, lower case, white space dropped."""
 
     def __init__(self, source: bytes):
+        import regex
+
         spec = json.loads(source)
         suffix = spec["model"]["end_of_word_suffix"]
         own = lambda t: t[: -len(suffix) - 1] + chr(ord(t[-len(suffix) - 1]) + END) if t.endswith(suffix) and len(t) > len(suffix) else t

@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from conftest import long_text
+from llm_fixtures import long_text
 from fleetspan.llm import encoding, licenses, minhash, mixing, quality, sharding, substring, token_counts
 from fleetspan.llm.graph import components
 from fleetspan.llm.prefixes import Prefixes
