@@ -5,9 +5,9 @@ import pytest
 
 sys.path[:0] = [str(Path(__file__).parents[1]), str(Path(__file__).parent)]
 
-from fleetspan.session import build_session  # noqa: E402
+from compare import SMALL  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
+from fleetspan.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -1,8 +1,7 @@
 """Every query with an oracle, value for value; the others return rows."""
 
 import pytest
-from compare import connect, differences
-from conftest import SMALL
+from compare import SMALL, connect, differences
 
 import __spark_entry__ as entry_point
 
