@@ -2,7 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetspan.llm import encoding, forest_dedup, licenses, minhash, mixing, neighbours, quality, sharding, substring, token_counts
+from fleetspan.llm import alignment, byte_pairs, encoding, forest_dedup, licenses, merkle, minhash, mixing, neighbours, quality, sharding, substring, token_counts
+from fleetspan.llm.merkle_sql import MANIFEST
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +51,18 @@ def op10_stable_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_pairs.encoding_digests(_table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_check(_table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -57,7 +70,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    named = [op1_substring_dedup, op2_token_counts, op3_source_mix, op4_kd_shards, op5_circulant_minhash, op6_attention_quality, op7_bpe_transducer, op8_license_index, op9_projection_forest, op10_stable_neighbours, pipeline]
+    named = [op1_substring_dedup, op2_token_counts, op3_source_mix, op4_kd_shards, op5_circulant_minhash, op6_attention_quality, op7_bpe_transducer, op8_license_index, op9_projection_forest, op10_stable_neighbours, op11_byte_pairs, op12_merkle_manifest, op13_token_alignment, pipeline]
     return {f.__name__: f for f in named}
 
 
@@ -118,4 +131,4 @@ FROM placed
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1, "op3_source_mix": OP3}
+    return {"op1_substring_dedup": OP1, "op3_source_mix": OP3, "op12_merkle_manifest": MANIFEST}
