@@ -421,9 +421,15 @@ def oracle_queries() -> dict[str, str]:
         "residual_histogram": f""", p AS (SELECT ({_PREDICTED}) - rul_cap AS e FROM health),
             b AS (SELECT min(e) AS lo, max(e) AS hi FROM p)
             SELECT least(CAST(floor((e - lo) / (hi - lo) * 40) AS INT), 39) AS bin, count(*) AS n FROM p, b GROUP BY 1""",
-        "anomaly_scatter": """SELECT dataset, engine_id, cycle, cycle_ratio * 100 AS life_pct, sensor_2, is_anomaly FROM serving""",
+        "late_life_scatter": """SELECT dataset, engine_id, cycle, cycle_ratio * 100 AS life_pct, sensor_2, is_anomaly FROM serving""",
         "late_life_rate": """SELECT count(*) FILTER (is_anomaly) AS anomalies, count(*) AS readings,
             round(avg(CAST(is_anomaly AS INT)) * 100, 4) AS anomaly_rate_pct FROM serving""",
+        "model_facts": f""", f AS (SELECT {_HELD_OUT} AS held_out FROM readings)
+            SELECT 'training_rows' AS fact, CAST(count(*) FILTER (NOT held_out) AS DOUBLE) AS value FROM f
+            UNION ALL SELECT 'held_out_rows', count(*) FILTER (held_out) FROM f
+            UNION ALL SELECT 'predictions_in_range', count(*) FILTER (held_out) FROM f
+            UNION ALL VALUES ('importances', 22), ('importance_sum', 1), ('trees', 100), ('nodes_too_deep', 0), ('leaves_too_small', 0),
+              ('isolation_trees', 100), ('healthy_share_flagged', 0.05)""",
         "healthy_population": "SELECT dataset, engine_id, cycle FROM health WHERE rul >= 125",
     }
     feed = {

@@ -314,6 +314,35 @@ def _model_card(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _model_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the trained models, whatever they have learned: sizes, shares and bounds."""
+    frame, life, odd = _model_frame(spark, sf_dir), _forest(spark, sf_dir), _isolation(spark, sf_dir)
+    learned = frame.agg(F.count_if(~prepare.split_flag()).alias("training_rows"), F.count_if(prepare.split_flag()).alias("held_out_rows"))
+    inside = F.col("predicted_rul").between(0, C.RUL_CAP)
+    scored = _held_out_predictions(spark, sf_dir).agg(F.count_if(inside).alias("predictions_in_range"))
+    listed = forest.importances(life).agg(
+        F.count("*").alias("importances"), F.round(F.sum("importance"), 9).alias("importance_sum")
+    )
+    grown = life.nodes.agg(
+        F.countDistinct("tree").alias("trees"),
+        F.count_if(F.col("node") >= 2 ** (C.FOREST_DEPTH + 1)).alias("nodes_too_deep"),
+        F.count_if((F.col("input") < 0) & (F.col("rows") < C.FOREST_MIN_LEAF)).alias("leaves_too_small"),
+    )
+    isolated = odd.nodes.agg(F.countDistinct("tree").alias("isolation_trees"))
+    flagged = odd.score(prepare.healthy_rows(frame)).agg(
+        F.round(F.avg(F.col("is_anomaly").cast("int")), 2).alias("healthy_share_flagged")
+    )
+    facts = None
+    for part in (learned, scored, listed, grown, isolated, flagged):
+        tall = part.select(*[F.col(c).cast("double") for c in part.columns]).unpivot([], part.columns, "fact", "value")
+        facts = tall if facts is None else facts.unionByName(tall)
+    return facts
+
+
+def _anomaly_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return isolation.anomaly_scatter(_anomaly_flags(spark, sf_dir))
+
+
 def _fleet_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The saved model's life estimate at the last reading of each truncated engine."""
     fleet = lineitem_fleet(spark, sf_dir)
@@ -518,7 +547,7 @@ def all_queries() -> dict[str, Query]:
         "residual_histogram": _on_fleet(
             lambda f: profiling.numeric_histogram(forest.residuals(_predicted(f)), "residual", 40)
         ),
-        "anomaly_scatter": _on_serving(isolation.anomaly_scatter),
+        "late_life_scatter": _on_serving(isolation.anomaly_scatter),
         "late_life_rate": _on_serving(isolation.anomaly_rate),
         "healthy_population": _on_fleet(
             lambda f: prepare.healthy_rows(
@@ -530,6 +559,9 @@ def all_queries() -> dict[str, Query]:
         "feature_importances": _feature_importances,
         "anomaly_flags": _anomaly_flags,
         "anomaly_rate": _anomaly_rate,
+        "anomaly_scatter": _anomaly_scatter,
+        "top_importances": lambda spark, sf_dir: forest.top_importances(_feature_importances(spark, sf_dir)),
+        "model_facts": _model_facts,
         "model_card": _model_card,
         "fleet_predictions": _fleet_predictions,
     }

@@ -7,7 +7,6 @@ import __spark_entry__ as entry_point
 
 QUERIES = entry_point.queries()
 ORACLES = entry_point.oracle_sql()
-TRAINED = {"rul_predictions", "rul_model_scores", "feature_importances", "model_card", "fleet_predictions"}
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +24,7 @@ def test_matches_oracle(spark, sf_dir, con, name):
     assert not errors
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - TRAINED))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_returns_rows(spark, sf_dir, name):
     assert not QUERIES[name](spark, sf_dir).isEmpty()
 
