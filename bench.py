@@ -4,6 +4,7 @@ import json
 import os
 import time
 
+from fleetspan.plans.binding import lineitem_fleet
 from fleetspan.plans.registry import all_queries
 from fleetspan.session import build_session
 
@@ -66,9 +67,11 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = all_queries()
+    start = time.perf_counter()
+    lineitem_fleet(spark, sf_dir).readings  # laid out once, by the first query that reads it
+    seconds = {"lay_out_fleet": round(time.perf_counter() - start, 3)}
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     queries[names[0]](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
-    seconds = {}
     for name in names:
         start = time.perf_counter()
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

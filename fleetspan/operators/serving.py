@@ -23,10 +23,10 @@ def latest_per_engine(df: DataFrame, keys: list[str] = C.KEYS, order: str = "cyc
 
 
 def latest_non_null(df: DataFrame, keys: list[str] = C.KEYS, order: str = "cycle") -> DataFrame:
-    """Each column's last value that is not null, column by column."""
+    """Each column's last value that is not null, column by column; of several at one place the largest."""
     rest = [c for c in df.columns if c not in keys and c != order]
     newest = [
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in rest
+        F.max(F.when(F.col(c).isNotNull(), F.struct(order, c))).getField(c).alias(c) for c in rest
     ]
     return df.groupBy(*keys).agg(F.max(order).alias(order), *newest).select(*df.columns)
 
@@ -171,9 +171,9 @@ def selection_list(latest: DataFrame) -> DataFrame:
 
 
 def engine_cards(serving: DataFrame) -> DataFrame:
-    """Current life, cycles lived, anomalies and status of each engine."""
+    """Current life, cycles lived, anomalies and status of each engine; of several last rows the longest life."""
     card = serving.groupBy(*C.KEYS).agg(
-        F.max_by("rul_capped", "cycle").alias("current_rul"),
+        F.max(F.struct("cycle", "rul_capped")).getField("rul_capped").alias("current_rul"),
         F.max("cycle").alias("cycles_lived"),
         F.count_if("is_anomaly").alias("anomalies"),
         F.count("*").alias("readings"),
@@ -196,7 +196,7 @@ def rul_gauges(serving: DataFrame) -> DataFrame:
 
 
 def engine_history(serving: DataFrame, engine_id: int, dataset: str | None = None) -> DataFrame:
-    """All readings of one engine in cycle order: both filters reach the scan."""
+    """All readings of one engine in cycle order; on a stored table both filters reach the scan, and one bucket is read."""
     rows = serving.where(F.col("engine_id") == engine_id)
     if dataset is not None:
         rows = rows.where(F.col("dataset") == dataset)

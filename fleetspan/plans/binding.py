@@ -4,16 +4,24 @@
 three blocks each, so lives differ. Every line item is a reading: its cycle is its
 place in the engine's ship order, and a life is the engine's number of readings.
 Cycles are numbered inside each engine and ship month, after the counts of the
-months before, so no engine has to be sorted in one task, however long it is.
+months before.
+
+Readings are laid out once for an application and a state of the table: bucketed by
+engine and sorted by cycle, with the life on every row. Windows, joins and latest
+rows by engine then need no exchange, truncated histories are a filter, and the
+longest life is a measured bound on the rows of one engine.
 """
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cache, cached_property
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetspan import constants as C
+from fleetspan.plans.shared import new_path
+from fleetspan.sinks.tables import write_by_engine
 
 MIN_TEST_CYCLES = 31
 
@@ -22,9 +30,8 @@ class Fleet:
     """Run-to-failure readings, their engines, truncated readings and labels.
 
     Each table is given as a builder and made on first use, so a query pays
-    only for the tables it reads. ``rows_per_engine`` is a proven bound on the
-    readings of one engine, or None where there is none; history operators then
-    split long engines.
+    only for the tables it reads. ``rows_per_engine`` tells a bound on the readings
+    of one engine, or None where there is none; history operators then count first.
     """
 
     def __init__(
@@ -33,15 +40,19 @@ class Fleet:
         engines: Callable[[], DataFrame],
         test_readings: Callable[[], DataFrame],
         labels: Callable[[], DataFrame],
-        rows_per_engine: int | None = None,
+        rows_per_engine: Callable[[], int | None] = lambda: None,
     ):
         self._build = {
+            "rows_per_engine": rows_per_engine,
             "readings": readings,
             "engines": engines,
             "test_readings": test_readings,
             "labels": labels,
         }
-        self.rows_per_engine = rows_per_engine
+
+    @cached_property
+    def rows_per_engine(self) -> int | None:
+        return self._build["rows_per_engine"]()
 
     @cached_property
     def readings(self) -> DataFrame:
@@ -64,13 +75,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def state_of(spark: SparkSession, path: str) -> str:
+    """Changes when the files of a table do: their names, sizes and times of writing."""
+    files = spark.read.format("binaryFile").load(path).select(F.xxhash64("path", "length", "modificationTime").alias("h"))
+    return str(files.agg(F.sum(F.col("h").cast("decimal(38,0)"))).first()[0])
+
+
+@cache
+def _laid_out(app: str, sf_dir: str, state: str) -> tuple[str, int]:
+    """The table of all readings, each with the ``life`` of its engine, and the longest life."""
+    spark = SparkSession.active()
+    name = f"readings_{uuid4().hex}"
+    readings = _readings(table(spark, sf_dir, "lineitem"))
+    longest = write_by_engine(readings, name, new_path(spark, "readings"), {"longest": F.max("life")})["longest"]
+    return name, longest or 0
+
+
 def lineitem_fleet(spark: SparkSession, sf_dir: str) -> Fleet:
     lineitem = table(spark, sf_dir, "lineitem")
+
+    def laid_out() -> tuple[DataFrame, int]:
+        name, longest = _laid_out(spark.sparkContext.applicationId, sf_dir, state_of(spark, f"{sf_dir}/lineitem.parquet"))
+        return spark.table(name), longest
+
     return Fleet(
-        readings=lambda: _readings(lineitem),
+        readings=lambda: laid_out()[0].drop("life"),
         engines=lambda: _engines(lineitem),
-        test_readings=lambda: _test_readings(_readings(lineitem)),
+        test_readings=lambda: _test_readings(laid_out()[0]),
         labels=lambda: _labels(lineitem),
+        rows_per_engine=lambda: laid_out()[1],
     )
 
 
@@ -104,7 +137,12 @@ def _readings(lineitem: DataFrame) -> DataFrame:
     )
     months = items.groupBy("engine_id", "month").count()
     earlier = Window.partitionBy("engine_id").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
-    months = months.select("engine_id", "month", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("ahead"))
+    months = months.select(
+        "engine_id",
+        "month",
+        F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("ahead"),
+        F.sum("count").over(Window.partitionBy("engine_id")).cast("int").alias("life"),
+    )
     in_ship_order = Window.partitionBy("engine_id", "month").orderBy(
         "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "p"
     )
@@ -147,6 +185,7 @@ def _readings(lineitem: DataFrame) -> DataFrame:
         const(100.0).alias("sensor_19"),
         (const(38.9) - t - const(0.001) * c).alias("sensor_20"),
         (const(23.3) - d - const(0.0006) * c).alias("sensor_21"),
+        "life",
     )
 
 
@@ -175,11 +214,10 @@ def _labels(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def _test_readings(readings: DataFrame) -> DataFrame:
-    """Histories cut ``true_rul`` cycles before failure; lives are combined before they are shuffled."""
-    lives = readings.groupBy("dataset", "engine_id").agg(F.max("cycle").alias("_life"))
-    last = F.greatest(F.lit(MIN_TEST_CYCLES), F.col("_life") - _true_rul(F.col("engine_id")))
-    return readings.join(lives, ["dataset", "engine_id"]).where(F.col("cycle") <= last).select(*readings.columns)
+def _test_readings(laid_out: DataFrame) -> DataFrame:
+    """Histories cut ``true_rul`` cycles before failure."""
+    last = F.greatest(F.lit(MIN_TEST_CYCLES), F.col("life") - _true_rul(F.col("engine_id")))
+    return laid_out.where(F.col("cycle") <= last).drop("life")
 
 
 def with_gaps(readings: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from fleetspan.functions import health, scalars
 from fleetspan.models import forest, isolation, prepare
 from fleetspan.operators import analysis, history, lives, profiling, quantiles, serving
 from fleetspan.plans import sql_surface
-from fleetspan.plans.binding import Fleet, as_feed, lineitem_fleet, table, with_gaps
+from fleetspan.plans.binding import Fleet, as_feed, lineitem_fleet, state_of, table, with_gaps
 from fleetspan.plans.shared import new_path
 from fleetspan.sinks import reports, tables
 from fleetspan.sources import pages, text
@@ -231,10 +231,7 @@ def _sensor_profile_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _state(spark: SparkSession, sf_dir: str) -> str:
-    """Changes when the line items do: rows of each file and when it was written."""
-    written = table(spark, sf_dir, "lineitem").select("_metadata.file_path", "_metadata.file_modification_time")
-    per_file = written.groupBy("file_path").agg(F.count("*").alias("n"), F.max("file_modification_time").alias("at"))
-    return str(per_file.agg(F.sum(F.xxhash64("file_path", "n", "at").cast("decimal(38,0)"))).first()[0])
+    return state_of(spark, f"{sf_dir}/lineitem.parquet")
 
 
 @cache

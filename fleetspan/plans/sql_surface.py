@@ -33,10 +33,13 @@ def register_alert_function(spark: SparkSession) -> None:
 
 
 def maintenance_alerts_sql(spark: SparkSession, fleet: Fleet, threshold: int) -> DataFrame:
-    """The table function called for each dataset of the fleet."""
+    """The table function called beside a list of data sets; the view is read once for all of them."""
     register_views(spark, fleet)
     register_alert_function(spark)
-    calls = " UNION ALL ".join(
-        f"SELECT * FROM maintenance_alerts('{dataset}', {threshold})" for dataset in C.DATASETS
+    named = ", ".join(f"('{dataset}')" for dataset in C.DATASETS)
+    return spark.sql(
+        f"""
+        SELECT alerts.* FROM VALUES {named} AS wanted(target),
+            LATERAL maintenance_alerts(wanted.target, {threshold}) AS alerts
+        """
     )
-    return spark.sql(calls)

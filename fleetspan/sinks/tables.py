@@ -1,6 +1,6 @@
 """Fleet tables: creation, idempotent loading and refresh."""
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetspan import constants as C
@@ -79,6 +79,27 @@ def write_readings(df: DataFrame, path: str) -> None:
     )
 
 
+def write_by_engine(df: DataFrame, table: str, path: str, measures: dict[str, Column] | None = None) -> dict:
+    """A new table at ``path``, bucketed by engine and sorted by cycle; what is measured is taken while it is written.
+
+    A bucket is one task of later jobs: as many as a shuffle of this session has. By the id alone, so
+    that a filter on one engine reads one bucket (Spark prunes by a single column); it serves (dataset, engine) too.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    seen = Observation()
+    measures = {name: column.alias(name) for name, column in (measures or {"rows": F.count("*")}).items()}
+    (
+        df.observe(seen, *measures.values())
+        .repartition(buckets, "engine_id")
+        .write.bucketBy(buckets, "engine_id")
+        .sortBy(*C.KEYS, "cycle")
+        .option("path", path)
+        .saveAsTable(table)
+    )
+    return seen.get
+
+
 def refresh(df: DataFrame, table: str, location: str) -> None:
     """Replace a table's whole contents by writing a new version and switching to it.
 

@@ -1,5 +1,7 @@
 """The physical plans the design relies on."""
 
+import re
+
 from fleetspan.operators import history, lives, serving
 from fleetspan.plans.registry import all_queries
 from fleetspan.plans.shared import staged
@@ -14,8 +16,25 @@ def exchanges(df) -> int:
 
 
 def test_every_line_item_is_a_reading(spark, sf_dir, fleet):
-    assert fleet.rows_per_engine is None and "WindowGroupLimit" not in plan(fleet.readings)
+    assert "WindowGroupLimit" not in plan(fleet.readings)
     assert fleet.readings.count() == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    assert fleet.rows_per_engine == max(r["count"] for r in fleet.readings.groupBy("engine_id").count().collect())
+
+
+def test_the_fleet_is_laid_out_once(spark, sf_dir):
+    """Queries by engine scan the laid-out readings and exchange nothing by engine."""
+    for name in ("feature_frame", "rolling_avg", "rolling_std", "cycle_delta", "rul_capped"):
+        text = plan(all_queries()[name](spark, sf_dir))
+        assert text.count("FileScan") == 1 and "Exchange" not in text, name
+    for name in ("fleet_status", "work_order", "serving_frame", "latest_per_engine", "engine_history"):
+        text = plan(all_queries()[name](spark, sf_dir))
+        assert text.count("FileScan") == 2 and text.count("Window [row_number()") <= 1, name
+        assert "Bucketed: true" in text and not re.search(r"hashpartitioning\(dataset#\d+, engine_id#\d+L?, \d+\)[^\n]*\n[^\n]*Window", text)
+    assert "SelectedBucketsCount: 1 out of" in plan(all_queries()["engine_history"](spark, sf_dir))
+
+
+def test_the_alert_function_reads_its_view_once(spark, sf_dir):
+    assert plan(all_queries()["maintenance_alerts_sql"](spark, sf_dir)).count("FileScan") == 2
 
 
 def test_feature_frame_is_one_exchange_in_the_jvm(fleet):
