@@ -442,7 +442,12 @@ def oracle_queries() -> dict[str, str]:
         + _r("avg(rul) OVER (PARTITION BY engine_id ORDER BY ts ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)")
         + " AS rolling_avg FROM feed",
         "stream_kpis": f"""SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, count(*) AS readings,
-            count(*) FILTER (rul < 30) AS danger, {_r("avg(rul)")} AS avg_rul, min(rul) AS min_rul FROM feed GROUP BY 1""",
+            count(*) FILTER (rul < 30) AS danger, {_r("avg(rul)")} AS avg_rul, min(rul) AS min_rul,
+            count(DISTINCT engine_id) AS engines FROM feed GROUP BY 1""",
+        "stream_kpis_daily": f"""SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, count(*) AS readings,
+            count(*) FILTER (rul < 30) AS danger, {_r("avg(rul)")} AS avg_rul, min(rul) AS min_rul,
+            count(DISTINCT engine_id) AS engines FROM feed GROUP BY 1""",
+        "stream_late_rows": """SELECT * FROM (VALUES ('alerts', CAST(0 AS BIGINT)), ('rolling', 0), ('kpis', 0)) t(stream, late_rows)""",
     }
     plain = {
         "coerce_types": """SELECT event_id, TRY_CAST(CASE WHEN event_type = 'error' THEN event_type ELSE CAST(value AS VARCHAR) END AS DOUBLE) AS value,
