@@ -21,6 +21,10 @@ group and ball are compared whole, block against block, one task for a pair of
 blocks. That finds every link of a dense node. Only sums and a link to the pivot
 leave a block, so a group makes no row for each pair.
 
+Rows of nearly one direction (multiples of a vector, say) are not parted by any cut.
+A cut that leaves too many rows on both sides is not made, cell by cell; what is in a
+cell of more than a leaf that can't be cut counts as dense. So cutting ends on any input.
+
 Other links are counted for different vectors (a pair is one row, however many
 leaves found it); copies of a vector add to the counts without a row for each pair.
 
@@ -51,6 +55,8 @@ DENSE = LEAF // 4
 """A node with more links than this in one leaf is compared with all that can be near it."""
 BLOCK, LEAST_BLOCK, BLOCKS = 8192, 256, 8
 """Rows of a block at most; a group of over ``LEAST_BLOCK`` rows is cut into blocks, ``BLOCKS`` as long as none gets too large."""
+WORTH, SMALLER = 1.3, 0.9
+"""A cut is made if both sides together hold at most so many times its rows, and the larger side this share."""
 TOP_LEAF = 64
 """Sample rows in a cell of a top, at least."""
 
@@ -66,6 +72,13 @@ def _cut(x: np.ndarray, tree: int, cell: int) -> tuple[np.ndarray, float, float]
     return along, *np.quantile(along, [0.5 + SPILL, 0.5 - SPILL])
 
 
+def _parted(along: np.ndarray, left: float, right: float) -> tuple[np.ndarray, np.ndarray] | None:
+    """Rows of either side, or None if the cut doesn't part them."""
+    sides = np.flatnonzero(along <= left), np.flatnonzero(along >= right)
+    sizes = [len(side) for side in sides]
+    return sides if sum(sizes) <= WORTH * len(along) and max(sizes) <= SMALLER * len(along) else None
+
+
 def fit_top(x: np.ndarray, tree: int, cell: int, least: int = TOP_LEAF) -> dict[int, tuple[float, float]]:
     """Cuts of a tree above cells of at least ``least`` sample rows: node -> bounds of its left and right side."""
     cuts, open_ = {}, [(cell, x)]
@@ -74,8 +87,9 @@ def fit_top(x: np.ndarray, tree: int, cell: int, least: int = TOP_LEAF) -> dict[
         if len(rows) < 2 * least:
             continue
         along, left, right = _cut(rows, tree, at)
-        cuts[at] = (left, right)
-        open_ += [(2 * at, rows[along <= left]), (2 * at + 1, rows[along >= right])]
+        if (sides := _parted(along, left, right)) is not None:
+            cuts[at] = (left, right)
+            open_ += [(2 * at, rows[sides[0]]), (2 * at + 1, rows[sides[1]])]
     return cuts
 
 
@@ -98,21 +112,18 @@ def leaf_pairs(x: np.ndarray, tree: int, cell: int, cosine: float, leaf: int = L
     while open_:
         at, rows = open_.pop()
         if len(rows) > leaf:
-            along, left, right = _cut(x[rows], tree, at % (1 << 62))
-            sides = rows[along <= left], rows[along >= right]
-            if max(map(len, sides)) < 0.9 * len(rows):
-                open_ += [(2 * at, sides[0]), (2 * at + 1, sides[1])]
-                continue
-        blocks = [rows[a : a + leaf] for a in range(0, len(rows), leaf)]  # more than one only where a cut didn't part the rows
-        for k, block in enumerate(blocks):
-            crowd = (x[block] @ x[block].T >= cosine).sum(1) > dense + 1
-            crowded[block[crowd]] = True
-            blocks[k] = block[~crowd]
-        for k, first in enumerate(blocks):
-            for second in blocks[k:]:
-                close = np.argwhere(x[first] @ x[second].T >= cosine)
-                i, j = first[close[:, 0]], second[close[:, 1]]
-                pairs.append(np.stack([i, j])[:, i < j] if first is second else np.stack([np.minimum(i, j), np.maximum(i, j)]))
+            sides = _parted(*_cut(x[rows], tree, at % (1 << 62)))
+            if sides is None:
+                crowded[rows] = True
+            else:
+                open_ += [(2 * at, rows[sides[0]]), (2 * at + 1, rows[sides[1]])]
+            continue
+        near = x[rows] @ x[rows].T >= cosine
+        crowd = near.sum(1) > dense + 1
+        crowded[rows[crowd]] = True
+        rows, near = rows[~crowd], near[np.ix_(~crowd, ~crowd)]
+        i, j = rows[np.nonzero(near)[0]], rows[np.nonzero(near)[1]]
+        pairs.append(np.stack([i, j])[:, i < j])
     return np.unique(np.concatenate(pairs, axis=1), axis=1), np.flatnonzero(crowded)
 
 
@@ -140,13 +151,14 @@ def _cells(tops: dict[int, dict[int, dict[int, tuple[float, float]]]]):
 _CELL = "size int, tree int, cell long, node long, vector array<double>"
 
 
-def _cut_again(rows: DataFrame, most: int) -> DataFrame:
-    """Cut every cell of more than ``most`` rows by a top fitted on a sample of it."""
+def _cut_again(rows: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Cut every cell of more than ``most`` rows by a top fitted on a sample of it; the rows, and the nodes of cells that can't be cut."""
     keys = ["size", "tree", "cell"]
+    whole = rows.select("node").where("false")
     while True:
         large = staged(rows.groupBy(keys).agg(F.count("*").alias("n")).where(F.col("n") > most), "large-cells")
         if large.isEmpty():
-            return rows
+            return rows, whole
         marked = rows.join(large, keys, "left")
         rate = F.lit(float(SAMPLE)) / F.col("n")
         drawn = marked.where(F.col("n").isNotNull() & (F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1 << 30)) < rate * (1 << 30)))
@@ -158,26 +170,25 @@ def _cut_again(rows: DataFrame, most: int) -> DataFrame:
             flat = [[at, left, right] for at, (left, right) in cuts.items()]
             return pd.DataFrame({"size": [key[0]], "tree": [key[1]], "cell": [key[2]], "cuts": [[v for row in flat for v in row]]})
 
-        tops = drawn.select(_CELL.replace(" int", "").replace(" long", "").replace(" array<double>", "").split(", ")).groupBy(keys).applyInPandas(fit, "size int, tree int, cell long, cuts array<double>")
-        joined = marked.join(tops, keys, "left").select("size", "tree", "cell", "node", "vector", "cuts", F.col("n").isNotNull().alias("again"))
+        names = [c.split()[0] for c in _CELL.split(", ")]
+        tops = staged(drawn.select(names).groupBy(keys).applyInPandas(fit, "size int, tree int, cell long, cuts array<double>"), "tops")
+        joined = marked.join(tops, keys, "left").select(*names, "cuts", F.col("n").isNotNull().alias("again"))
+        stuck = F.col("again") & (F.coalesce(F.size("cuts"), F.lit(0)) == 0)
+        whole = staged(whole.union(joined.where(stuck).select("node")).distinct(), "whole-cells")
 
         def go_down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                frame = whole.select(["size", "tree", "cell", "again"]).to_pandas()
+            for batch in batches:
+                frame = batch.select(["size", "tree", "cell", "again"]).to_pandas()
                 for (size, tree, cell, again), part in frame.groupby(["size", "tree", "cell", "again"]):
-                    rows = whole.take(pa.array(part.index.to_numpy()))
+                    rows = batch.take(pa.array(part.index.to_numpy()))
                     flat = np.array(rows.column("cuts")[0].as_py() or []).reshape(-1, 3)
                     cuts = {int(a): (left, right) for a, left, right in flat} if again else {}
                     for to, kept in send_down(matrix(rows.column("vector")), int(tree), int(cell), cuts):
                         part_ = rows.take(pa.array(kept))
                         n = len(kept)
-                        yield pa.record_batch([pa.array(np.full(n, size), pa.int32()), pa.array(np.full(n, tree), pa.int32()), pa.array(np.full(n, to, np.int64)), part_.column("node"), part_.column("vector")], names=["size", "tree", "cell", "node", "vector"])
+                        yield pa.record_batch([pa.array(np.full(n, size), pa.int32()), pa.array(np.full(n, tree), pa.int32()), pa.array(np.full(n, to, np.int64)), part_.column("node"), part_.column("vector")], names=names)
 
-        before = large.agg(F.max("n")).first()[0]
-        rows = staged(joined.mapInArrow(go_down, _CELL), "cells")
-        after = rows.groupBy(keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-        if after >= 0.9 * before:  # rows that no cut parts; leaves take them in blocks
-            return rows
+        rows = staged(joined.where(~stuck).mapInArrow(go_down, _CELL), "cells")
 
 
 def _by_length(batches: Iterator[pa.RecordBatch], step: int = 2048) -> Iterator[tuple[int, pa.RecordBatch]]:
@@ -261,7 +272,7 @@ def _dense_links(unit: DataFrame, crowded: DataFrame, cosine: float) -> DataFram
     rows = staged(marked.mapInArrow(_balls(pivots, least, cosine), "ball long, node long, vector array<double>, copies long, pivot long"), "balls")
     blocks = lambda n: F.greatest(F.least(F.lit(BLOCKS), F.ceil(n / LEAST_BLOCK)), F.ceil(n / BLOCK))
     sizes = rows.groupBy("ball").agg(blocks(F.count("*")).alias("width"), blocks(F.count_if(F.col("pivot") == F.col("ball"))).alias("height"))
-    rows = rows.join(F.broadcast(sizes), "ball")  # a row for each pivot
+    rows = rows.join(staged(sizes, "ball-sizes"), "ball")
     own = lambda k: F.pmod(F.xxhash64("node", F.lit(5)), F.col(k))
     each = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.col(k) - 1))
     columns = ["ball", "node", "vector", "copies", "pivot"]
@@ -303,7 +314,7 @@ def links(nodes: DataFrame, cosine: float = COSINE, cell: int = CELL) -> tuple[D
     for size, part in sample.groupby(sample["vector"].map(len)) if len(sample) else ():
         x = np.stack(part["vector"].to_numpy())
         tops[int(size)] = {tree: fit_top(x, tree, 1) for tree in range(TREES)}
-    rows = _cut_again(staged(unit.select("node", "vector").mapInArrow(_cells(tops), _CELL), "cells"), cell)
+    rows, whole = _cut_again(staged(unit.select("node", "vector").mapInArrow(_cells(tops), _CELL), "cells"), cell)
 
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         node = table.column("node").to_numpy()
@@ -314,7 +325,8 @@ def links(nodes: DataFrame, cosine: float = COSINE, cell: int = CELL) -> tuple[D
         return pa.table({"a": np.concatenate([np.minimum(a, node[pairs[1]]), node[crowded]]), "b": b})
 
     found = staged(rows.groupBy("size", "tree", "cell").applyInArrow(compare, "a long, b long").distinct(), "found")
-    pairs, crowded = found.where("b is not null"), found.where("b is null").select(F.col("a").alias("node"))
+    pairs = found.where("b is not null")
+    crowded = staged(found.where("b is null").select(F.col("a").alias("node")).union(whole).distinct(), "crowded")
     if crowded.isEmpty():
         return pairs, None
     for end in ("a", "b"):

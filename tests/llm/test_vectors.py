@@ -96,9 +96,49 @@ def test_recall_on_the_test_table(spark, sf_dir):
             hit += (ids[q], ids[j]) in got
             total += 1
     assert hit >= 0.9 * total
+
+
+def links_of(x, cosine=0.9):
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    links = sum(r["n_links"] for r in forest_dedup.near_vectors(df).collect())
-    assert links >= 0.9 * ((unit @ unit.T >= 0.9).sum() - len(x))
+    return np.concatenate([(unit[a : a + 1000] @ unit.T >= cosine).sum(1) - 1 for a in range(0, len(unit), 1000)])
+
+
+def found_links(spark, x):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    return {r["vec_id"]: r for r in forest_dedup.near_vectors(df).collect()}
+
+
+def test_multiples_of_one_vector(spark):
+    """Nothing parts vectors that differ in length only; all of them are linked."""
+    rng = np.random.default_rng(4)
+    line = rng.normal(size=64)
+    x = np.concatenate([line * (1 + 0.001 * np.arange(6000))[:, None], line * 2.0 ** np.arange(60)[:, None] * 1e-6, rng.normal(size=(500, 64))]).astype(np.float32)
+    got = found_links(spark, x)
+    want = links_of(x.astype(float))
+    assert want[0] == 6059 and [got[i]["n_links"] for i in range(len(x))] == want.tolist()
+    assert {got[i]["component_id"] for i in range(6060)} == {0}
+
+
+def test_cutting_ends_where_nothing_is_parted():
+    line = np.random.default_rng(5).normal(size=32)
+    for x in (np.tile(line, (3000, 1)), line * (1 + 0.001 * np.arange(3000))[:, None], np.sign(np.random.default_rng(6).normal(size=(3000, 1)))):
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        assert len(forest_dedup.fit_top(x, 0, 1)) < 100
+        assert len(forest_dedup.leaf_pairs(x, 0, 1, 0.9)[1]) == len(x)
+
+
+def test_recall_by_size_of_planted_clusters(spark):
+    rng = np.random.default_rng(9)
+    sizes = [10] * 100 + [100] * 20 + [500] * 4 + [5000]
+    parts = [rng.normal(size=64) + rng.normal(size=(n, 64)) * 0.22 for n in sizes]
+    x = np.concatenate([*parts, rng.normal(size=(20_000, 64))]).astype(np.float32)
+    want, got = links_of(x.astype(float)), found_links(spark, x)
+    found = np.array([got[i]["n_links"] for i in range(len(x))])
+    assert (found <= want).all()
+    of = np.concatenate([np.repeat(sizes, sizes), np.zeros(20_000, int)])
+    recall = {n: found[of == n].sum() / want[of == n].sum() for n in (10, 100, 500, 5000)}
+    print(recall)
+    assert want[of == 5000].mean() > 2500 and min(recall.values()) >= 0.95
 
 
 def test_forest_in_a_group_of_near_vectors(spark):
