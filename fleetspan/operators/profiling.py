@@ -281,17 +281,24 @@ def integer_histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
 
 
 def numeric_histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
-    """Equal-width histogram of a fractional column over the whole frame.
+    """Equal-width histogram of a fractional column over the whole frame: every bin with its bounds, empty ones too.
 
     The range is a scalar subquery: one row, evaluated before the binning scan.
     """
     values = df.where(F.col(value).isNotNull())
-    low = values.agg(F.min(value)).scalar()
-    high = values.agg(F.max(value)).scalar()
-    return (
-        values.groupBy(_equal_width_bin(F.col(value), low, high, bins).alias("bin"))
-        .agg(F.count("*").alias("n"))
-        .select("bin", "n")
+    ends = values.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("ends"))
+    spanned = values.withColumn("ends", ends.scalar())
+    low, high = F.col("ends.low"), F.col("ends.high")
+    counted = spanned.groupBy("ends", _equal_width_bin(F.col(value), low, high, bins).alias("bin")).agg(F.count("*").alias("n"))
+    # ``bins`` entries at most.
+    found = counted.groupBy("ends").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("found"))
+    start, end = _span(low, high)
+    width = (end - start) / F.lit(float(bins))
+    return found.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).select(
+        "bin",
+        (start + F.col("bin") * width).alias("bin_from"),
+        (start + (F.col("bin") + 1) * width).alias("bin_to"),
+        F.coalesce(F.try_element_at("found", F.col("bin")), F.lit(0)).alias("n"),
     )
 
 

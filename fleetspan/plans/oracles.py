@@ -392,12 +392,34 @@ def oracle_queries() -> dict[str, str]:
         + """],
               'critical': (SELECT list({'rul_capped': rul_capped, 'dataset': dataset, 'engine_id': engine_id, 'health_status': st}
                            ORDER BY rul_capped, dataset, engine_id) FROM top7)}) AS VARCHAR) AS document""",
-        "kpi_page": """SELECT concat('<b>', CAST(count(*) AS VARCHAR), '</b> engines, ', CAST(count(*) FILTER (rul_capped < 30) AS VARCHAR),
-            ' in danger, least life ', CAST(min(rul_capped) AS VARCHAR)) AS page FROM latest""",
+        "kpi_page": _TOP7
+        + f""" SELECT concat('<html><body>', chr(10), '<p>Updated 01 Feb 2024, 08:30 UTC</p>', chr(10),
+            '<p><b>', count(*), '</b> engines: ', count(*) FILTER (rul_capped < 30), ' in danger, ',
+            count(*) FILTER (rul_capped >= 30 AND rul_capped < 80), ' on warning, ', count(*) FILTER (rul_capped >= 80), ' healthy</p>', chr(10),
+            '<p>Remaining life: ', round(avg(rul_capped), 1), ' cycles on average, ', min(rul_capped), ' at least</p>', chr(10),
+            '<table>', chr(10), (SELECT string_agg({_ROW_HTML}, chr(10) ORDER BY rul_capped, dataset, engine_id) FROM top7), chr(10), '</table>', chr(10),
+            '<script>const histogram = [', """
+        + ", ',', ".join(f"count(*) FILTER (rul_capped >= {lo} AND rul_capped < {hi})" for lo, hi in _EDGES)
+        + """, '];</script>', chr(10), '</body></html>') AS page FROM latest""",
+        "alert_mail": f""", a AS (SELECT dataset, engine_id, rul_capped, CASE WHEN rul_capped < 30 THEN 'DANGER' ELSE 'WARNING' END AS st,
+              row_number() OVER (PARTITION BY rul_capped < 30 ORDER BY rul_capped, dataset, engine_id) AS nth FROM latest WHERE rul_capped < 80),
+            n AS (SELECT count(*) FILTER (rul_capped < 30) AS danger, count(*) FILTER (rul_capped >= 30 AND rul_capped < 80) AS warning,
+              count(*) FILTER (rul_capped < 30 OR is_anomaly) AS due FROM latest),
+            lists AS (SELECT string_agg({_ROW_HTML}, chr(10) ORDER BY rul_capped, dataset, engine_id) FILTER (st = 'DANGER' AND nth <= 100) AS d,
+              string_agg({_ROW_HTML}, chr(10) ORDER BY rul_capped, dataset, engine_id) FILTER (st = 'WARNING' AND nth <= 5) AS w FROM a),
+            t AS (SELECT '<table><tr><th>Engine</th><th>Remaining</th><th>Status</th></tr>' || chr(10) AS head,
+              '<tr><td colspan="3">None</td></tr>' AS nothing)
+            SELECT printf('Engine alert: %d engines need attention now (2024-02-01 08:30)', danger) AS subject,
+              concat('<html><body>', chr(10), '<h2>Engine health report of 2024-02-01 08:30</h2>', chr(10), '<h3>Immediate maintenance: ', danger,
+                ' engines</h3>', chr(10), head, coalesce(d, nothing), chr(10), '</table>', chr(10), '<p>', greatest(danger - 100, 0),
+                ' further engines in danger are in the alert table.</p>', chr(10), '<h3>Maintenance soon: ', least(warning, 5), ' of ', warning,
+                ' engines</h3>', chr(10), head, coalesce(w, nothing), chr(10), '</table>', chr(10), '</body></html>') AS body
+            FROM n, lists, t WHERE due > 0""",
         "alerts_gate": """SELECT count(*) FILTER (rul_capped < 30) AS danger,
             count(*) FILTER (rul_capped >= 30 AND rul_capped < 80) AS warning, count(*) FILTER (is_anomaly) AS anomalies,
             count(*) FILTER (rul_capped < 30) > 0 OR count(*) FILTER (is_anomaly) > 0 AS report_due FROM latest""",
-        "alerts_emitted": "SELECT dataset, engine_id, cycle, rul_capped, is_anomaly FROM latest WHERE rul_capped < 30 OR is_anomaly",
+        "alerts_emitted": """SELECT dataset, engine_id, cycle, rul_capped, is_anomaly, report_day FROM latest,
+            (VALUES (DATE '2024-01-31'), (DATE '2024-02-01')) d(report_day) WHERE rul_capped < 30 OR is_anomaly""",
         # --- Load and sink
         "load_breakdown": """SELECT dataset, count(DISTINCT engine_id) AS number_of_engines, count(*) AS total_sensor_readings,
             min(cycle) AS min_cycle, max(cycle) AS max_cycle FROM readings GROUP BY dataset""",
@@ -419,8 +441,11 @@ def oracle_queries() -> dict[str, str]:
             SELECT count(*) AS n, round(sqrt(avg((yhat - y) * (yhat - y))), 6) AS rmse, round(avg(abs(yhat - y)), 6) AS mae,
               round(1 - sum((yhat - y) * (yhat - y)) / (var_pop(y) * count(*)), 6) AS r2 FROM p""",
         "residual_histogram": f""", p AS (SELECT ({_PREDICTED}) - rul_cap AS e FROM health),
-            b AS (SELECT min(e) AS lo, max(e) AS hi FROM p)
-            SELECT least(CAST(floor((e - lo) / (hi - lo) * 40) AS INT), 39) AS bin, count(*) AS n FROM p, b GROUP BY 1""",
+            b AS (SELECT min(e) AS lo, max(e) AS hi FROM p),
+            x AS (SELECT least(CAST(floor((e - lo) / (hi - lo) * 40) AS INT), 39) AS bin, count(*) AS n FROM p, b GROUP BY 1),
+            g AS (SELECT CAST(i AS INT) AS bin FROM range(0, 40) t(i))
+            SELECT g.bin, {_r("lo + g.bin * ((hi - lo) / 40)")} AS bin_from, {_r("lo + (g.bin + 1) * ((hi - lo) / 40)")} AS bin_to,
+              coalesce(x.n, 0) AS n FROM b, g LEFT JOIN x ON g.bin = x.bin""",
         "late_life_scatter": """SELECT dataset, engine_id, cycle, cycle_ratio * 100 AS life_pct, sensor_2, is_anomaly FROM serving""",
         "late_life_rate": """SELECT count(*) FILTER (is_anomaly) AS anomalies, count(*) AS readings,
             round(avg(CAST(is_anomaly AS INT)) * 100, 4) AS anomaly_rate_pct FROM serving""",

@@ -205,24 +205,25 @@ def _status_by_engine(df: DataFrame) -> DataFrame:
     return df.select(*READING).join(status, C.KEYS)
 
 
-def _kpi_page(latest: DataFrame) -> DataFrame:
-    template = "<b>{{total}}</b> engines, {{danger}} in danger, least life {{least}}"
-    kpis = latest.agg(
-        F.count("*").alias("total"),
-        F.count_if(health.is_danger(F.col("rul_capped"))).alias("danger"),
-        F.min("rul_capped").alias("least"),
-    )
-    markers = {"{{total}}": "total", "{{danger}}": "danger", "{{least}}": "least"}
-    return reports.fill_template(kpis, template, markers)
+def _report_time():
+    """A fixed time of report, so that pages can be compared."""
+    return F.lit("2024-02-01 08:30:00").cast("timestamp")
 
 
 def _alerts_emitted(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = serving.latest_per_engine(_serving(lineitem_fleet(spark, sf_dir)))
     path = new_path(spark, "alerts")
-    reports.emit_alerts(latest, path)
+    for day in ("2024-01-31", "2024-02-01", "2024-02-01"):  # the second day is reported twice
+        reports.emit_alerts(latest, path, day)
     return spark.read.parquet(path).drop("reported_at")
 
 
+def _load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fleet, database = lineitem_fleet(spark, sf_dir), f"fleet_{uuid4().hex}"
+    tables.create_tables(spark, database, new_path(spark, "tables"))
+    return tables.load_report(spark, fleet.readings, fleet.engines, database)
+
+
 def _sensor_profile_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.labelled(spark, profiling.sensor_profile(lineitem_fleet(spark, sf_dir).readings))
 
@@ -522,12 +523,13 @@ def all_queries() -> dict[str, Query]:
         "report_body": _on_latest(reports.report_body),
         "alert_sections": _on_latest(reports.alert_sections),
         "kpi_json": _on_latest(lambda df: reports.kpi_document(df, stamped=False)),
-        "kpi_page": _on_latest(_kpi_page),
+        "kpi_page": _on_latest(lambda df: reports.kpi_page(df, at=_report_time())),
+        "alert_mail": _on_latest(lambda df: reports.alert_mail(df, at=_report_time())),
         "alerts_gate": _on_latest(reports.gate),
         "alerts_emitted": _alerts_emitted,
         # Load and sink
         "load_breakdown": _on_fleet(lambda f: analysis.load_breakdown(f.readings)),
-        "load_report": _on_fleet(lambda f: tables.load_report(f.readings)),
+        "load_report": _load_report,
         "table_counts": _on_fleet(
             lambda f: analysis.table_counts(
                 engines=f.engines, sensor_readings=f.readings, rul_labels=f.labels
@@ -568,7 +570,7 @@ def all_queries() -> dict[str, Query]:
         # Models
         "regression_metrics": _on_fleet(lambda f: forest.regression_metrics(_predicted(f))),
         "residual_histogram": _on_fleet(
-            lambda f: profiling.numeric_histogram(forest.residuals(_predicted(f)), "residual", 40)
+            lambda f: _rounded(profiling.numeric_histogram(forest.residuals(_predicted(f)), "residual", 40))
         ),
         "late_life_scatter": _on_serving(isolation.anomaly_scatter),
         "late_life_rate": _on_serving(isolation.anomaly_rate),

@@ -49,8 +49,23 @@ def append(df: DataFrame, table: str) -> None:
 
 
 def append_new(df: DataFrame, table: str, keys: list[str]) -> None:
-    """Append only keys the table lacks, so a repeated load changes nothing."""
-    append(new_rows(df.sparkSession.table(table), df, keys), table)
+    """Append only keys the table lacks, so a repeated load changes nothing.
+
+    Of a table partitioned by data set only the partitions that arrivals touch are read; data sets are few.
+    """
+    target = df.sparkSession.table(table)
+    if "dataset" in keys:
+        target = target.where(F.col("dataset").isin([r[0] for r in df.select("dataset").distinct().collect()]))
+    append(new_rows(target, df, keys), table)
+
+
+def append_counted(df: DataFrame, table: str, keys: list[str], datasets: tuple[str, ...] = C.DATASETS) -> dict[str, int]:
+    """Append new keys and count the rows of each data set as they are written."""
+    seen = Observation()
+    target = df.sparkSession.table(table).where(F.col("dataset").isin(list(datasets)))
+    counters = [F.count_if(F.col("dataset") == d).alias(d) for d in datasets]
+    append(new_rows(target, df, keys).observe(seen, *counters), table)
+    return seen.get
 
 
 def load_fleet(
@@ -126,15 +141,14 @@ def write_observed(df: DataFrame, path: str, name: str = "load") -> dict[str, in
     return seen.get
 
 
-def load_report(readings: DataFrame) -> DataFrame:
-    """Engines and readings per dataset, with the grand total of readings."""
-    per_engine = readings.groupBy("dataset", "engine_id").agg(F.count("*").alias("n"))
-    per_dataset = per_engine.groupBy("dataset").agg(
-        F.count("*").alias("engines_loaded"), F.sum("n").alias("readings_loaded")
-    )
-    total = per_dataset.agg(
-        F.lit("ALL").alias("dataset"),
-        F.sum("engines_loaded").alias("engines_loaded"),
-        F.sum("readings_loaded").alias("readings_loaded"),
-    )
-    return per_dataset.unionByName(total)
+def load_report(
+    spark: SparkSession, readings: DataFrame, engines: DataFrame, database: str, datasets: tuple[str, ...] = C.DATASETS
+) -> DataFrame:
+    """Load both tables; engines and readings loaded per dataset and in all, counted while they were written."""
+    loaded = [
+        append_counted(df, f"{database}.{name}", TABLES[name][1], datasets)
+        for name, df in (("engines", engines), ("sensor_readings", readings))
+    ]
+    rows = [(d, *[counts[d] for counts in loaded]) for d in datasets]
+    rows.append(("ALL", *[sum(counts.values()) for counts in loaded]))
+    return spark.createDataFrame(rows, "dataset string, engines_loaded bigint, readings_loaded bigint")

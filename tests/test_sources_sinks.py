@@ -1,5 +1,7 @@
 """Text and table readers, loading, refresh and exports."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,6 +122,67 @@ def test_links(spark):
     assert tuple(pages.link_counts(df, ["jet"], ["data"]).first()) == (3, 2)
 
 
+def test_links_in_every_form(spark):
+    html = (
+        "<!-- <a href='/hidden'>no</a> --><a href='/one?a=1&amp;b=2' title=\"x > y\">R&amp;D &lt;new&gt;</a><a class=k href=/two>bare</a>"
+        "<script>var s = \"<a href='/script'>no</a>\";</script><a data-href=\"/no\">no target</a>"
+        "<a title='href=/trap' href = \"/three\">it's <img alt='a > b' src=x> here</a><abbr href='/abbr'>no</abbr><a href=''>empty</a>"
+    )
+    df = spark.createDataFrame([(1, "u", html), (2, "u", None), (3, "u", "<a href='/open'>never closed")], "page_id int, url string, html string")
+    found = [(r["href"], r["link_text"]) for r in pages.page_links(df).collect()]
+    assert found == [("/one?a=1&b=2", "R&D <new>"), ("/two", "bare"), ("/three", "it's  here"), ("", "empty")]
+
+
+LATEST = "dataset string, engine_id int, cycle int, rul_capped int, is_anomaly boolean"
+
+
+def test_a_report_of_a_day_replaces_itself(spark, tmp_path):
+    path = str(tmp_path / "alerts")
+    first = spark.createDataFrame([("FD001", 1, 9, 10, False), ("FD002", 2, 9, 20, False), ("FD002", 3, 9, 100, False)], LATEST)
+    second = spark.createDataFrame([("FD001", 1, 9, 10, False), ("FD001", 4, 9, 90, True)], LATEST)
+    assert reports.emit_alerts(first, path, "2024-01-01") and reports.emit_alerts(first, path, "2024-01-02")
+    assert reports.emit_alerts(second, path, "2024-01-02") and not reports.emit_alerts(first.where("false"), path, "2024-01-03")
+    rows = sorted((str(r["report_day"]), r["engine_id"]) for r in spark.read.parquet(path).collect())
+    assert rows == [("2024-01-01", 1), ("2024-01-01", 2), ("2024-01-02", 1), ("2024-01-02", 4)]
+
+
+def test_mail_lists_the_most_urgent_and_counts_the_rest(spark):
+    rows = [("FD001", i, 9, i, False) for i in range(1, 29)] + [("FD002", 50, 9, 40, False), ("FD002", 51, 9, None, True)]
+    mail = reports.alert_mail(spark.createDataFrame(rows, LATEST), listed=3).first()
+    assert "28 engines" in mail["subject"] and "25 further engines" in mail["body"] and "1 of 1 engines" in mail["body"]
+    listed = re.findall(r"Engine (\d+)</td><td>(\d+) cycles", mail["body"])
+    assert listed == [("1", "1"), ("2", "2"), ("3", "3"), ("50", "40")]
+    calm = spark.createDataFrame([("FD001", 1, 9, 100, False)], LATEST)
+    assert reports.alert_mail(calm).isEmpty()
+    flagged = reports.alert_mail(spark.createDataFrame([("FD001", 1, 9, 100, True)], LATEST)).first()
+    assert flagged["body"].count(reports.NO_ROWS) == 2
+
+
+def test_page_has_no_marker_left(spark):
+    page = reports.kpi_page(spark.createDataFrame([("FD001", 1, 9, 10, False)], LATEST)).first()["page"]
+    assert "{{" not in page and "const histogram = [1,0,0,0,0,0,0,0]" in page
+
+
+def test_a_second_load_reads_only_the_partitions_it_touches(spark, fleet, tmp_path):
+    tables.create_tables(spark, "fleet_touched", str(tmp_path / "db"))
+    whole = tables.load_report(spark, fleet.readings, fleet.engines, "fleet_touched").collect()
+    assert whole[-1]["engines_loaded"] == 26 and whole[-1]["readings_loaded"] == 6000
+    again = tables.load_report(spark, fleet.readings, fleet.engines, "fleet_touched").collect()
+    assert all(r["engines_loaded"] == r["readings_loaded"] == 0 for r in again)
+    some = fleet.engines.where("dataset = 'FD003'").withColumn("engine_id", tables.F.col("engine_id") + 1000)
+    tables.append_new(some, "fleet_touched.engines", C.KEYS)
+    assert spark.table("fleet_touched.engines").count() == 26 + some.count()
+
+
+def test_histogram_has_all_bins(spark):
+    from fleetspan.operators import profiling
+
+    df = spark.createDataFrame([(0.0,), (0.1,), (4.0,), (None,)], "x double")
+    rows = [tuple(r) for r in profiling.numeric_histogram(df, "x", 4).orderBy("bin").collect()]
+    assert rows == [(0, 0.0, 1.0, 2), (1, 1.0, 2.0, 0), (2, 2.0, 3.0, 0), (3, 3.0, 4.0, 1)]
+    assert profiling.numeric_histogram(df.where("false"), "x", 4).isEmpty()
+
+
 def test_view_and_table_function(spark, fleet):
     sql_surface.register_views(spark, fleet)
     sql_surface.register_alert_function(spark)
