@@ -5,9 +5,12 @@ space ends a chunk, and a chunk falls into words by the tokenizer's pattern.
 Inside a word the table of :mod:`prefixes` gives the last token of each prefix;
 any prefix that a later token can begin at is at most the longest token away.
 Follow the last tokens back from all of these: where they all pass through one
-place, what lies before it can't change any more and is emitted. The merge
-list's lookahead bounds how far that can be put off, so memory doesn't grow
-with a word. Whole chunks that come again are answered from a bounded cache.
+place, what lies before it can't change any more. The lookahead that the merge list needs
+is computed from it (``lookahead``): a token that far back is stable. So a word's symbols
+are held until there are more than that, then what is stable is emitted, and memory doesn't
+grow with a word. A word that ends earlier is emitted at its end; such words are short, and
+many of them go through the table at once. Whole chunks that come again are answered
+from a bounded cache.
 
 The decoder is a state machine over ids: it emits each token's string as soon
 as it arrives, a blank before it unless it is the first. ``text_stream`` gives
@@ -84,11 +87,9 @@ class Transducer:
         return self.table.longest * (1 + max(depth.values(), default=0))
 
     def word(self, symbols: str) -> Iterator[str]:
-        """Tokens of one word, each emitted once it is stable."""
+        """Tokens of one word, each emitted once it is stable; no more than the lookahead and two tokens are held."""
         longest = self.table.longest
-        if len(symbols) <= 4 * longest:
-            yield from self.table.tokens(symbols)
-            return
+        held = self.lookahead + 2 * longest
         sizes: list[int] = []  # of the last tokens of the prefixes that aren't emitted yet
         base = 0
 
@@ -101,11 +102,13 @@ class Transducer:
 
         for end, (size, _) in enumerate(self.table.steps(symbols), 1):
             sizes.append(size)
-            if end < len(symbols) and len(sizes) % (2 * longest):
+            if end == len(symbols):
+                stable = end
+            elif len(sizes) < held:
                 continue
-            live = [end] if end == len(symbols) else range(end - longest + 1, end + 1)
-            shared = set.intersection(*(set(back(at)) for at in live))
-            stable = max(shared, default=base)
+            else:  # what lies the lookahead back is stable; all prefixes that may go on pass through it
+                live = range(end - longest + 1, end + 1)
+                stable = max(p for p in set.intersection(*(set(back(at)) for at in live)) if p <= end - self.lookahead)
             places = back(stable)[::-1]
             for a, b in zip(places, places[1:], strict=False):
                 yield symbols[a:b]
@@ -125,7 +128,7 @@ class Transducer:
         return self._part([self.ids[t] for w in self._pattern.findall(chunk) for t in self.word(self._symbols(w)) if t in self.ids])
 
     def _chunks(self, chunks: list[str]) -> Iterator[tuple[int, str, str]]:
-        """The same for many chunks at once."""
+        """The same for many chunks at once; words shorter than the lookahead, which end before anything is stable, go together."""
         split = [[self._symbols(w) for w in self._pattern.findall(c)] for c in chunks]
         words = list({w for ws in split for w in ws if len(w) <= BATCH_SYMBOLS})
         token, size, start = self.batch.run(words)

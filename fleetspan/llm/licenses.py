@@ -1,18 +1,20 @@
 """License scan with a positional index of rare words.
 
-Templates are short license texts, each with a key phrase. Document frequencies
-of their words are counted over all documents; the rarest words of a template
-index it: posting (word -> template, position). Every place where a file has an
-index word proposes where the template would begin; each place proposed is a
-candidate, once, whether or not other index words agree. It counts if the key phrase
-stands word for word where the template has it, and its score is the share of
-the template's words, weighted by rarity, that stand at their places.
+Templates are license texts, each with a mandatory key phrase. Document frequencies of their
+words are counted over all documents, whose rarity is the IDF. The index holds every
+template's word with its positions (postings). In each file, the licence words that it has are looked up, and for every
+template the two key words of highest IDF are taken: their postings, moved by their place
+in the template, tell where the template would begin, and a place counts only if both
+agree on it (the intersection by relative position). There the key phrase is verified word
+for word, and the score is the share of the template's words, weighted by rarity, that
+stand at their places. Key words must all be there, so the intersection loses no key phrase.
 
 The base phrases are templates whose key phrase is the whole phrase, so all their
-places are found: each place holds the phrase's index word.
+places are found.
 
 Null and empty texts have no words. Repeated rows give repeated results. Texts
-are scanned whole. With no documents there are no frequencies and no rows.
+are scanned whole. With no documents there are no frequencies and no rows. Other columns,
+clashing names included, are not looked at.
 """
 
 import math
@@ -27,32 +29,102 @@ from fleetspan.llm.words import pieces, words_of
 
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 """Phrase and label."""
-TEMPLATES = [
+# Texts of licenses and notices as words, each with its label and key phrase.
+_FULL = {
+    "mit": (
+        "permission is hereby granted",
+        """permission is hereby granted free of charge to any person obtaining a copy of this software and associated
+        documentation files the software to deal in the software without restriction including without limitation the rights to
+        use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the
+        software is furnished to do so subject to the following conditions the above copyright notice and this permission notice
+        shall be included in all copies or substantial portions of the software the software is provided as is without warranty
+        of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular
+        purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other
+        liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or
+        the use or other dealings in the software""",
+    ),
+    "isc": (
+        "permission to use copy modify",
+        """permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
+        provided that the above copyright notice and this permission notice appear in all copies the software is provided as is
+        and the author disclaims all warranties with regard to this software including all implied warranties of merchantability
+        and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages
+        whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action
+        arising out of or in connection with the use or performance of this software""",
+    ),
+    "bsd": (
+        "redistribution and use",
+        """redistribution and use in source and binary forms with or without modification are permitted provided that the following
+        conditions are met 1 redistributions of source code must retain the above copyright notice this list of conditions and the
+        following disclaimer 2 redistributions in binary form must reproduce the above copyright notice this list of conditions
+        and the following disclaimer in the documentation and or other materials provided with the distribution this software is
+        provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to
+        the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the
+        copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages
+        including but not limited to procurement of substitute goods or services loss of use data or profits or business
+        interruption however caused and on any theory of liability whether in contract strict liability or tort including
+        negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such
+        damage""",
+    ),
+    "zlib": (
+        "altered source versions",
+        """this software is provided as is without any express or implied warranty in no event will the authors be held liable for any
+        damages arising from the use of this software permission is granted to anyone to use this software for any purpose including
+        commercial applications and to alter it and redistribute it freely subject to the following restrictions 1 the origin of this
+        software must not be misrepresented you must not claim that you wrote the original software if you use this software in a
+        product an acknowledgment in the product documentation would be appreciated but is not required 2 altered source versions
+        must be plainly marked as such and must not be misrepresented as being the original software 3 this notice may not be removed
+        or altered from any source distribution""",
+    ),
+    "unlicense": (
+        "free and unencumbered",
+        """this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell
+        or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial
+        and by any means in jurisdictions that recognize copyright laws the author or authors of this software dedicate any and all
+        copyright interest in the software to the public domain we make this dedication for the benefit of the public at large and to
+        the detriment of our heirs and successors we intend this dedication to be an overt act of relinquishment in perpetuity of all
+        present and future rights to this software under copyright law""",
+    ),
+    "apache-2.0": (
+        "in compliance with the license",
+        """licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you
+        may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in
+        writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind
+        either express or implied see the license for the specific language governing permissions and limitations under the license""",
+    ),
+    "gpl": (
+        "at your option any later version",
+        """this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as
+        published by the free software foundation either version 3 of the license or at your option any later version this program is
+        distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability
+        or fitness for a particular purpose see the gnu general public license for more details you should have received a copy of
+        the gnu general public license along with this program""",
+    ),
+    "mpl-2.0": (
+        "mozilla public license",
+        """this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with
+        this file you can obtain one at http mozilla org mpl 2 0""",
+    ),
+}
+_LINES = [
     ("mit", "released under the mit license", "mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "permission is hereby granted"),
     ("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2"),
-    ("apache-2.0", "you may not use this file except in compliance with the license", "in compliance with the license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use"),
-    ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
     ("gpl", "this work is licensed under the gnu general public license version 3", "gnu general public license"),
-    ("gpl", "either version 3 of the license or at your option any later version", "at your option any later version"),
     ("lgpl", "under the terms of the gnu lesser general public license", "lesser general public license"),
     ("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
     ("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa"),
     ("cc", "licensed under a creative commons attribution license", "creative commons"),
-    ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered"),
 ]
+TEMPLATES = [(label, " ".join(text.split()), key) for label, (key, text) in _FULL.items()] + _LINES
 """Label, text, key phrase."""
-RARE = 3
-"""Index words of a template."""
 BETWEEN = np.isin(np.arange(256), [*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 """Bytes between words, after A-Z are lower case: all of ASCII but digits and letters."""
 
 
 class Index:
-    """Templates by their rarest words."""
+    """Templates by the positions of their words."""
 
-    def __init__(self, frequency: dict[str, int], documents: int, templates=None, rare: int = RARE):
+    def __init__(self, frequency: dict[str, int], documents: int, templates=None):
         base = [(label, phrase, phrase) for phrase, label in BASE_PHRASES.items()]
         self.templates = [*base, *(TEMPLATES if templates is None else templates)]
         self.n_base = len(base)
@@ -62,30 +134,30 @@ class Index:
         self.key = [next(i for i in range(len(w)) if w[i : i + len(k.split())] == k.split()) for w, (_, _, k) in zip(self.words, self.templates, strict=True)]
         self.key_size = [len(k.split()) for _, _, k in self.templates]
         self.weight = [np.array([self.idf[x] for x in w]) for w in self.words]
-        postings = []
+        # The two key words of highest IDF, each with its place in the template; one if the key has one only.
+        self.rarest = []
         for t, words in enumerate(self.words):
-            rarest = sorted(range(len(words)), key=lambda i: (-self.idf[words[i]], i))
-            in_key = [i for i in rarest if self.key[t] <= i < self.key[t] + self.key_size[t]]
-            chosen = {*rarest[:rare], in_key[0]} if t >= self.n_base else {in_key[0]}
-            postings += [(self.hashes[t][i], t, i) for i in chosen]
-        postings.sort()
-        self.post_hash = np.array([p[0] for p in postings], np.uint64)
-        self.post_template = np.array([p[1] for p in postings])
-        self.post_place = np.array([p[2] for p in postings])
+            first = {w: i for i, w in reversed(list(enumerate(words))) if self.key[t] <= i < self.key[t] + self.key_size[t]}
+            self.rarest.append(sorted(first.items(), key=lambda x: (-self.idf[x[0]], x[1]))[:2])
+        known = sorted({w for chosen in self.rarest for w, _ in chosen})
+        order = np.argsort(hashes_of(known))
+        self.known_hash, self.known = hashes_of(known)[order], [known[i] for i in order]
 
     def candidates(self, words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(template, first word, score) of all places where a template's key phrase stands."""
         value = words.hashes()
-        low = np.searchsorted(self.post_hash, value, side="left")
-        hit = np.flatnonzero(self.post_hash[np.minimum(low, len(self.post_hash) - 1)] == value)
-        number = np.searchsorted(self.post_hash, value[hit], side="right") - low[hit]
-        at = np.repeat(hit, number)
-        posting = np.repeat(low[hit], number) + np.arange(len(at)) - np.repeat(np.cumsum(number) - number, number)
-        template, start = self.post_template[posting], at - self.post_place[posting]
+        at = np.minimum(np.searchsorted(self.known_hash, value), len(self.known_hash) - 1)
+        hit = np.flatnonzero(self.known_hash[at] == value)
+        by_word = np.argsort(at[hit], kind="stable")
+        bounds = np.searchsorted(at[hit][by_word], np.arange(len(self.known) + 1))
+        places = {w: hit[by_word[a:b]] for w, a, b in zip(self.known, bounds, bounds[1:], strict=False)}
         found = []
-        for t in np.unique(template):
-            begin = np.unique(np.stack([start[template == t], words.doc[at[template == t]]]), axis=1)
-            begin, doc = begin
+        for t, chosen in enumerate(self.rarest):
+            starts = [places[w] - i for w, i in chosen]
+            begin = np.intersect1d(*starts) if len(starts) > 1 else starts[0]
+            if not len(begin):
+                continue
+            doc = words.doc[begin + chosen[0][1]]
             size, hashes = len(self.words[t]), self.hashes[t]
             place = begin[:, None] + np.arange(size)
             inside = (place >= words.first[doc][:, None]) & (place < words.first[doc + 1][:, None])

@@ -3,9 +3,10 @@
 The pieces of the model begin with the mark of a blank or hold none, so a text
 falls into words (a run of blanks and what follows it) that never merge with
 each other. Inside a word the table of :mod:`prefixes` has the last token of
-every prefix, hence its token count. A count for a text, for any cut of it, or
-the longest cut within a budget is read off these tables; nothing is encoded
-again. Tables of short words are kept in the worker in a cache of fixed size.
+every prefix, hence its token count: the count of the prefix before that token and one
+more. These counts are stored for every prefix of every different word. The count of a
+text, of any cut of it, or the longest cut within a budget is read off them; nothing is
+encoded again. Tables of short words are kept in the worker in a cache of fixed size.
 
 Null and empty texts have no tokens. Repeated rows give repeated results. Texts
 of any length are counted whole, with no truncation, padding or added tokens.
@@ -42,7 +43,7 @@ class Counter:
             raise ValueError("a piece of this model spans words")
         self.table = Prefixes(order, lambda a, b: order.get(a + b))
         self.batch = Batch(self.table)
-        self.words = Memo(lambda word: self.prefixes(BLANK + word)[-1])
+        self.words = Memo(lambda word: self.prefixes(BLANK + word))
 
     def prefixes(self, symbols: str) -> list[int]:
         """Token counts of all prefixes that aren't empty; a symbol outside the vocabulary counts its bytes."""
@@ -51,40 +52,55 @@ class Counter:
             counts.append(counts[i - size] + (1 if known else len(symbols[i - 1].encode())))
         return counts[1:]
 
-    def _last(self, words: list[str]) -> list[int]:
-        """Token counts of whole words, all at once."""
+    def _tables(self, words: list[str]) -> list[list[int]]:
+        """Token counts of all prefixes of all words, one prefix length after another."""
         words = [BLANK + w for w in words]
         token, size, start = self.batch.run(words)
         lengths = np.array([len(w) for w in words])
-        bytes_ = np.ones(len(token), np.int64)
+        step = np.ones(len(token), np.int32)
         odd = np.ones(len(token), bool)
         odd[start] = False
         odd = np.flatnonzero(odd & (token < 0))
         word = np.searchsorted(start, odd, side="right") - 1
-        bytes_[odd] = [len(words[w][p - 1].encode()) for w, p in zip(word, odd - start[word], strict=True)]
-        counts, at = np.zeros(len(words), np.int64), lengths.copy()
-        live = np.arange(len(words))
-        while len(live):  # one token back in every word
-            place = start[live] + at[live]
-            counts[live] += bytes_[place]
-            at[live] -= size[place]
-            live = live[at[live] > 0]
-        return counts.tolist()
-
-    def counts(self, texts: list[str]) -> list[int]:
-        """Tokens of each text; words that weren't seen before go through the table together."""
-        self.words.fill({w for t in texts for w in t.replace(BLANK, " ").split(" ")}, self._last)
-        return [self.count(t) for t in texts]
+        step[odd] = [len(words[w][p - 1].encode()) for w, p in zip(word, odd - start[word], strict=True)]
+        counts = np.zeros(len(token), np.int32)
+        order = np.argsort(-lengths, kind="stable")
+        active = np.searchsorted(-lengths[order], -np.arange(lengths.max(initial=0) + 1), side="right")
+        for i in range(1, len(active)):
+            at = start[order[: active[i]]] + i
+            counts[at] = counts[at - size[at]] + step[at]
+        flat = counts.tolist()
+        return [flat[a + 1 : a + 1 + n] for a, n in zip(start.tolist(), lengths.tolist(), strict=True)]
+
+    def _split(self, text: str) -> list[str]:
+        """The words of a text without the blank before each; further blanks of a run stay in their word."""
+        words = text.replace(BLANK, " ").split(" ")
+        if "" in words:
+            words = [word[1:] for word in _WORD.findall(BLANK + BLANK.join(words))]
+        return words
+
+    def read(self, texts: list[str], limit: int) -> list[tuple[int, int]]:
+        """For each text its tokens, and the characters of its longest prefix with at most ``limit`` tokens."""
+        split = [self._split(t) if t else [] for t in texts]
+        self.words.fill({w for words in split for w in words}, self._tables)
+        return [self._read(words, limit) for words in split]
+
+    def _read(self, words: list[str], limit: int) -> tuple[int, int]:
+        tables = list(map(self.words.__getitem__, words))
+        total = sum([t[-1] for t in tables])
+        if total <= limit:
+            return total, max(sum(map(len, tables)) - 1, 0)
+        # Every word has a token at least, so the last one that begins below the limit holds the cut.
+        before = np.concatenate([[0], np.cumsum([t[-1] for t in tables])])
+        last = int(np.searchsorted(before[:-1], limit - 1, side="right")) - 1
+        if last < 0:
+            return total, 0
+        cut = int(np.flatnonzero(before[last] + np.array(tables[last]) <= limit)[-1])
+        return total, sum(map(len, tables[:last])) + cut
 
     def count(self, text: str) -> int:
         """Tokens of the whole text."""
-        if not text:
-            return 0
-        words = text.replace(BLANK, " ").split(" ")
-        if "" in words:  # runs of blanks
-            found = _WORD.findall(BLANK + BLANK.join(words))
-            return sum(self.words[word[1:]] for word in found)  # further blanks of a run stay in its word
-        return sum(map(self.words.__getitem__, words))
+        return self.read([text], 1)[0][0]
 
     def every_prefix(self, text: str) -> np.ndarray:
         """Count of text[:p] for p = 0 ... len(text)."""
@@ -120,11 +136,11 @@ def _counts(model: bytes, limit: int):
         counter = _counter(model)
         for batch in pieces(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            tokens = counter.counts(texts)
+            tokens, fit = zip(*counter.read(texts, limit), strict=True)
             over = [n > limit for n in tokens]
             size = [len(t.encode()) for t in texts]
-            arrays = [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(tokens, pa.int64()), pa.array(over, pa.bool_())]
-            yield pa.record_batch(arrays, names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
+            arrays = [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(tokens, pa.int64()), pa.array(over, pa.bool_()), pa.array(fit, pa.int64())]
+            yield pa.record_batch(arrays, names=["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars"])
 
     return run
 
@@ -134,8 +150,8 @@ def _in(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def token_counts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = 4096, path: str | None = None) -> DataFrame:
-    """doc_id, n_bytes, n_tokens and over_limit of every row."""
-    kind = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
+    """doc_id, n_bytes, n_tokens, over_limit and fit_chars (of the longest prefix within the limit) of every row."""
+    kind = "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_chars long"
     return _in(df, doc_id, text).mapInArrow(_counts(model_bytes(path), limit), kind)
 
 

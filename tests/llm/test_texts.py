@@ -73,7 +73,28 @@ def test_token_counts(docs):
     model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(token_counts.MODEL))
     rows = rows_of(docs)
     want = Counter((i, len((t or "").encode()), len(model.encode(t or "")), len(model.encode(t or "")) > 4096) for i, t in rows)
-    assert Counter(tuple(r) for r in token_counts.token_counts(docs).collect()) == want
+    got = token_counts.token_counts(docs).collect()
+    assert Counter(tuple(r)[:4] for r in got) == want
+    texts = defaultdict(list)
+    for i, t in rows:
+        texts[i, len((t or "").encode())].append(t or "")
+    for r in got:
+        text, cut = texts[r["doc_id"], r["n_bytes"]][0], r["fit_chars"]
+        if not r["over_limit"]:
+            assert cut == len(text)
+        elif len(texts[r["doc_id"], r["n_bytes"]]) == 1:
+            assert len(model.encode(text[:cut])) <= 4096 < min(len(model.encode(text[:p])) for p in range(cut + 1, cut + 20))
+
+
+@pytest.mark.parametrize("limit", [0, 1, 7, 20])
+def test_longest_prefix_within_a_budget(awkward, limit):
+    import public_tokenizers
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(token_counts.MODEL))
+    short = awkward.where("length(text) < 700 or text is null")
+    want = Counter((i, max(p for p in range(len(t or "") + 1) if len(model.encode((t or "")[:p])) <= limit)) for i, t in rows_of(short))
+    assert Counter((r["doc_id"], r["fit_chars"]) for r in token_counts.token_counts(short, limit=limit).collect()) == want
 
 
 def test_count_at_every_prefix(awkward):
@@ -115,6 +136,22 @@ def test_transducer_streams():
     assert coder.lookahead >= coder.table.longest
 
 
+def test_tokens_are_emitted_at_the_lookahead(monkeypatch):
+    coder = encoding.Transducer(token_counts.model_bytes(None, encoding.TOKENIZER))
+    rng = np.random.default_rng(2)
+    taken = []
+    monkeypatch.setattr(coder.table, "steps", lambda s, f=coder.table.steps: (taken.append(1) or x for x in f(s)))
+    for letters in ("ab", "thera", "abcdefghijklmnopqrstuvwxyz"):
+        word = "".join(rng.choice(list(letters), 3000))
+        taken.clear()
+        tokens, ahead = [], []
+        for token in coder.word(word):
+            tokens.append(token)
+            ahead.append(len(taken) - sum(map(len, tokens)) + len(token))
+        assert tokens == coder.table.merged(word)
+        assert max(ahead) <= coder.lookahead + 4 * coder.table.longest and len(taken) == len(word)
+
+
 def test_prefix_table_is_the_merge_list():
     ranks = {("a", "b"): 0, ("b", "c"): 1, ("ab", "c"): 2, ("c", "a"): 3, ("bc", "a"): 4}
     table = Prefixes({"a", "b", "c", "ab", "bc", "abc", "ca", "bca"}, lambda a, b: ranks.get((a, b)))
@@ -323,6 +360,28 @@ def test_licenses(docs):
     assert all(0 <= r["score"] <= 1 and (r["score"] > 0) == (r["labels"] != "") for r in got)
 
 
+def test_license_texts_are_found_whole_and_changed(spark):
+    own = {label: (text, key) for label, text, key in licenses.TEMPLATES if len(text.split()) > 25}
+    rows = [(i, f"Copyright (c) 2024. {text.capitalize()}.") for i, (text, _) in enumerate(own.values())]
+    rows += [(100 + i, text.replace("software", "program")) for i, (text, _) in enumerate(own.values())]
+    rows += [(200 + i, " ".join(w for n, w in enumerate(text.split()) if key not in text or n % 2)) for i, (text, key) in enumerate(own.values())]
+    got = {r["doc_id"]: r for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (label, (_, key)) in enumerate(own.items()):
+        assert label in got[i]["labels"].split(",") and got[i]["score"] > 0.999
+        assert label in got[100 + i]["labels"].split(",") or "software" in key
+        assert label not in got[200 + i]["labels"].split(",")
+    changed = [got[100 + i]["score"] for i, label in enumerate(own) if label in ("mit", "isc", "zlib", "bsd")]
+    assert len(changed) == 4 and all(0 < score < 1 for score in changed)  # the others hold a short template whole
+
+
+def test_index_words_agree_on_the_place():
+    index = licenses.Index({"cc": 5, "by": 900}, 1000)
+    assert [w for w, _ in index.rarest[list(licenses.BASE_PHRASES).index("cc by")]] == ["cc", "by"]
+    words = licenses.words_of(licenses.pa.array(["by cc by x cc", "cc", "by cc y by", "cc by"]), licenses.BETWEEN, lower=True)
+    template, place, score = index.candidates(words)
+    assert place.tolist() == [1, 10] and set(template.tolist()) == {0} and score.tolist() == [1.0, 1.0]
+
+
 def test_empty_tables(nothing, spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     frames = [substring.substring_dedup(nothing), substring.without_repeats(nothing), token_counts.token_counts(nothing), mixing.mixed_sources(nothing), mixing.mixture(nothing), sharding.balanced_shards(nothing), minhash.near_duplicates(nothing), minhash.one_of_each(nothing), quality.quality_scores(nothing, labels), quality.good_documents(nothing, labels), encoding.encoding_digests(nothing), licenses.license_scan(nothing)]
