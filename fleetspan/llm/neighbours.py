@@ -8,14 +8,20 @@ by a kd-tree. A query sees its candidates leaf by leaf, nearest projected box
 first, checks each on the original vectors, and stops at the box so far away
 that a better candidate would project beyond it with probability ``SURE`` only.
 
-The upper kd-tree is fitted on a bounded sample and cuts the candidates into
-cells; crowded cells are cut into blocks by hash. Each block has a kd-tree of its
-own. A query is first answered in its own cell; what it finds bounds which other
-cells the stopping test leaves, and only these are visited. Queries, too, come in
-blocks, so neither side is ever whole in a task. Every row is a candidate.
-
-Null, zero and non-finite vectors take no part, nor do candidates whose length
-isn't the query's. Repeated rows are candidates of their own.
+The kd-tree is fitted from the top on bounded samples: as many cells as the rows ask for
+(``CELLS`` at most at once), and a cell that still holds more than ``BLOCK`` rows is cut
+again by a tree fitted on a sample of its own. Only equal points, which no cut parts,
+are cut by hash. So blocks, and the boxes that the tasks are given, grow in proportion
+to the rows (some 200 bytes for ``BLOCK`` of them). Inside a block the tree goes on to leaves.
+
+A query is first answered in the block it falls into; what it finds bounds which other boxes
+the stopping test leaves, and it is sent to these only. A block that more than ``BLOCK``
+queries visit stands in several tasks, each with a part of them; no other candidate is copied,
+and neither side is ever whole in a task. Every row is a candidate.
+
+Null, zero and non-finite vectors and rows without an id take no part, nor do candidates whose
+length isn't the query's. Repeated rows are candidates of their own; ties go to the smaller id.
+An empty table gives an empty result; other columns, clashing names included, are not looked at.
 """
 
 from collections.abc import Iterator
@@ -36,7 +42,8 @@ EVERY = 20
 DIMENSIONS = 10
 SURE = 0.98
 SAMPLE = 8192
-CELLS = 16
+CELLS = 256
+"""Cells that one sample is cut into at most; rows keep 32 sample rows a cell at least."""
 BLOCK = 8192
 LEAF = 64
 
@@ -101,9 +108,9 @@ def box_distance(query: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.nda
 
 
 class Cells:
-    """An upper kd-tree with a fixed number of cells; node i has nodes 2i and 2i + 1 below it."""
+    """An upper kd-tree with a given number of cells (a power of two); node i has nodes 2i and 2i + 1 below it."""
 
-    def __init__(self, y: np.ndarray, cells: int = CELLS):
+    def __init__(self, y: np.ndarray, cells: int):
         self.levels = cells.bit_length() - 1
         self.axis, self.at = np.zeros(cells, int), np.zeros(cells)
         rows = {1: y}
@@ -114,8 +121,20 @@ class Cells:
                 self.at[node] = np.median(part[:, self.axis[node]])
             left = part[:, self.axis[node]] <= self.at[node]
             rows[2 * node], rows[2 * node + 1] = part[left], part[~left]
-        self.low = np.full((cells, y.shape[1]), -np.inf)
-        self.high = np.full((cells, y.shape[1]), np.inf)
+        self._boxes(y.shape[1])
+
+    @classmethod
+    def of_cuts(cls, axis: np.ndarray, at: np.ndarray, dimensions: int) -> "Cells":
+        """The tree with these cuts."""
+        cells = cls.__new__(cls)
+        cells.levels, cells.axis, cells.at = len(axis).bit_length() - 1, axis, at
+        cells._boxes(dimensions)
+        return cells
+
+    def _boxes(self, dimensions: int) -> None:
+        cells = len(self.axis)
+        self.low = np.full((cells, dimensions), -np.inf)
+        self.high = np.full((cells, dimensions), np.inf)
         for cell in range(cells):
             node = cells + cell
             while node > 1:
@@ -133,6 +152,52 @@ class Cells:
         return node - len(self.axis)
 
 
+def cell_count(rows: int, block: int) -> int:
+    """Cells for so many rows, so that most hold less than a block."""
+    cells = 1
+    while cells < CELLS and cells * block < 2 * rows:
+        cells *= 2
+    return cells
+
+
+class Tree:
+    """Cells below cells, for vectors of one length. The cell of key k has those of keys k * 2 * CELLS + 1 + c below it."""
+
+    def __init__(self, projection: Projection, top: Cells):
+        self.projection, self.cells = projection, {1: top}
+        self.parts: dict[int, int] = {}  # blocks of a cell of equal points, by hash
+        self.seal()
+
+    def seal(self) -> None:
+        """Leaves and their boxes."""
+        keys, low, high, open_ = [], [], [], [(1, -np.inf, np.inf)]
+        while open_:
+            key, above_low, above_high = open_.pop()
+            cells = self.cells[key]
+            for c in range(len(cells.low)):
+                child, box = key * 2 * CELLS + 1 + c, (np.maximum(cells.low[c], above_low), np.minimum(cells.high[c], above_high))
+                if child in self.cells:
+                    open_.append((child, *box))
+                else:
+                    keys.append(child)
+                    low.append(box[0])
+                    high.append(box[1])
+        self.leaves, self.low, self.high = np.array(keys), np.stack(low), np.stack(high)
+
+    def of(self, y: np.ndarray) -> np.ndarray:
+        """The leaf of each point."""
+        key, open_ = np.ones(len(y), np.int64), np.arange(len(y))
+        while len(open_):
+            for k in np.unique(key[open_]):
+                at = open_[key[open_] == k]
+                key[at] = k * 2 * CELLS + 1 + self.cells[int(k)].of(y[at])
+            open_ = open_[np.isin(key[open_], list(self.cells))]
+        return key
+
+    def blocks(self, leaf: int) -> list[tuple[int, int]]:
+        return [(leaf, part) for part in range(self.parts.get(leaf, 1))]
+
+
 class Block:
     """Candidates of one block under their own kd-tree."""
 
@@ -169,51 +234,81 @@ class Block:
         return ids, products
 
 
-def _placed(index: dict[int, tuple[Projection, Cells]], blocks: dict[tuple[int, int], int], stretch: float):
-    """Add the cells that a query visits: its own one (``floor`` null), else the others that the stopping test leaves."""
+def _visits(index: dict[int, Tree], stretch: float):
+    """Queries to a row for each block they visit: the one they fall into (``floor`` null), else the others that the stopping test leaves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = batch.column("vector").value_lengths().to_numpy()
             for size in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == size))
-                x = matrix(part.column("vector"))
-                projection, cells = index[int(size)]
-                y = projection.queries(x)
-                home = cells.of(y)
-                visits = []
+                x, tree = matrix(part.column("vector")), index[int(size)]
+                y = tree.projection.queries(x)
+                home = tree.of(y).tolist()
                 for i, floor in enumerate(part.column("floor").to_pylist()):
-                    if floor is None:
-                        visits.append([int(home[i])])
-                        continue
-                    limit = stretch * projection.distance(x[i], floor) if floor > -np.inf else np.inf
-                    near = np.flatnonzero(box_distance(y[i], cells.low, cells.high) <= limit)
-                    visits.append([int(c) for c in near if c != home[i]])
-                places = [[{"cell": c, "block": b} for c in v for b in range(blocks.get((int(size), c), 0))] for v in visits]
-                kind = pa.list_(pa.struct([("cell", pa.int32()), ("block", pa.int32())]))
-                n = pa.array(np.full(len(x), size), pa.int32())
-                columns = [part.column(c) for c in ("row", "vec_id", "vector", "floor")]
-                yield pa.record_batch([n, *columns, pa.array(places, kind)], names=["size", "row", "vec_id", "vector", "floor", "places"])
+                    leaves = [home[i]]
+                    if floor is not None:
+                        limit = stretch * tree.projection.distance(x[i], floor) if floor > -np.inf else np.inf
+                        leaves = [k for k in tree.leaves[box_distance(y[i], tree.low, tree.high) <= limit].tolist() if k != home[i]]
+                    blocks = [b for leaf in leaves for b in tree.blocks(leaf)]
+                    if blocks:
+                        n = len(blocks)
+                        own = part.slice(i, 1).take(pa.array(np.zeros(n, np.int64)))
+                        places = [pa.array(np.full(n, size), pa.int32()), pa.array([b[0] for b in blocks], pa.int64()), pa.array([b[1] for b in blocks], pa.int32())]
+                        yield pa.record_batch([*places, *(own.column(c) for c in ("row", "vec_id", "vector", "floor"))], names=["size", "leaf", "part", "row", "vec_id", "vector", "floor"])
 
     return run
 
 
-def _candidate_cells(index: dict[int, tuple[Projection, Cells]]):
+def _candidate_leaves(index: dict[int, Tree]):
+    """Rows with the leaf that they fall into."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = batch.column("vector").value_lengths().to_numpy()
-            cell = np.zeros(batch.num_rows, np.int32)
+            leaf = np.zeros(batch.num_rows, np.int64)
             for size in np.unique(sizes):
-                at = np.flatnonzero(sizes == size)
-                projection, cells = index[int(size)]
-                cell[at] = cells.of(projection.candidates(matrix(batch.column("vector").take(pa.array(at)))))
-            arrays = [pa.array(sizes, pa.int32()), pa.array(cell), *(batch.column(c) for c in ("row", "vec_id", "vector"))]
-            yield pa.record_batch(arrays, names=["size", "cell", "row", "vec_id", "vector"])
+                at, tree = np.flatnonzero(sizes == size), index[int(size)]
+                leaf[at] = tree.of(tree.projection.candidates(matrix(batch.column("vector").take(pa.array(at)))))
+            arrays = [pa.array(sizes, pa.int32()), pa.array(leaf), *(batch.column(c) for c in ("row", "vec_id", "vector"))]
+            yield pa.record_batch(arrays, names=["size", "leaf", "row", "vec_id", "vector"])
 
     return run
 
 
-_VISIT = "size int, row long, vec_id long, vector array<double>, floor double, places array<struct<cell: int, block: int>>"
+_CANDIDATE = "size int, leaf long, row long, vec_id long, vector array<double>"
+_VISIT = "size int, leaf long, part int, row long, vec_id long, vector array<double>, floor double"
+
+
+def _grown(rows: DataFrame, index: dict[int, Tree], block: int) -> DataFrame:
+    """Cut crowded leaves again until none is left; the rows with their leaves."""
+    while True:
+        placed = staged(rows.mapInArrow(_candidate_leaves(index), _CANDIDATE), "leaves")
+        crowded = placed.groupBy("size", "leaf").agg(F.count("*").alias("n")).where(F.col("n") > block)
+        crowded = [r for r in crowded.collect() if r["leaf"] not in index[r["size"]].parts]  # a row for each crowded leaf
+        if not crowded:
+            return placed
+        kind = "size int, leaf long, n long"
+        wanted = rows.sparkSession.createDataFrame([tuple(r) for r in crowded], kind)
+        rate = F.lit(float(SAMPLE)) / F.col("n") * (1 << 30)
+        drawn = placed.join(wanted, ["size", "leaf"]).where(F.pmod(F.xxhash64("row", F.lit(3)), F.lit(1 << 30)) < rate)
+
+        def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            y = index[int(key[0])].projection.candidates(np.stack(pdf["vector"].to_numpy()))
+            cells = Cells(y, max(2, cell_count(int(pdf["n"].iloc[0]), block)))
+            most = np.bincount(cells.of(y)).max() / len(y)
+            return pd.DataFrame({"size": [key[0]], "leaf": [key[1]], "axis": [cells.axis.tolist()], "at": [cells.at.tolist()], "most": [most]})
+
+        fitted = drawn.groupBy("size", "leaf").applyInPandas(fit, "size int, leaf long, axis array<int>, at array<double>, most double")
+        found = {(r["size"], r["leaf"]): r for r in fitted.collect()}  # ``CELLS`` numbers for each crowded leaf
+        for r in crowded:
+            tree, cut = index[r["size"]], found.get((r["size"], r["leaf"]))
+            if cut is None or cut["most"] > 0.9:  # points that no cut parts
+                tree.parts[r["leaf"]] = -(-r["n"] // block)
+            else:
+                tree.cells[r["leaf"]] = Cells.of_cuts(np.array(cut["axis"]), np.array(cut["at"]), DIMENSIONS)
+        for tree in index.values():
+            tree.seal()
 
 
 def nearest(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", most: int = NEAREST, every: int = EVERY, sure: float = SURE, block: int = BLOCK) -> DataFrame:
@@ -221,39 +316,40 @@ def nearest(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding",
     rows = rows_of(df, vec_id, embedding).where("node is not null and vec_id is not null").withColumn("row", F.monotonically_increasing_id())
     rows = staged(rows, "vectors")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    lengths = {r["size"]: r["largest"] for r in rows.groupBy(F.size("vector").alias("size")).agg(F.max(norm).alias("largest")).collect()}
+    lengths = rows.groupBy(F.size("vector").alias("size")).agg(F.max(norm).alias("largest"), F.count("*").alias("n")).collect()
     sample = rows.orderBy(F.xxhash64("node", F.lit(1)), "node", "row").limit(SAMPLE).select("vector").toPandas()["vector"]  # SAMPLE rows at most
     index = {}
-    for size, largest in lengths.items():
-        projection = Projection(size, largest)
-        part = [v for v in sample if len(v) == size]
+    for r in lengths:
+        projection, part = Projection(r["size"], r["largest"]), [v for v in sample if len(v) == r["size"]]
         y = projection.candidates(np.stack(part)) if part else np.zeros((0, DIMENSIONS))
-        index[size] = projection, Cells(y)
+        index[r["size"]] = Tree(projection, Cells(y, cell_count(r["n"], block)))
     stretch = chi_square_quantile(sure, DIMENSIONS)
-    cells = staged(rows.select("row", "vec_id", "vector").mapInArrow(_candidate_cells(index), "size int, cell int, row long, vec_id long, vector array<double>"), "cells")
-    blocks = {(r["size"], r["cell"]): -(-r["count"] // block) for r in cells.groupBy("size", "cell").count().collect()}
+    placed = _grown(rows.select("row", "vec_id", "vector"), index, block)
+    parts = [(size, leaf, n) for size, tree in index.items() for leaf, n in tree.parts.items()]
+    split = df.sparkSession.createDataFrame(parts, "size int, leaf long, parts int")
+    part = F.pmod(F.xxhash64("row", F.lit(2)), F.coalesce("parts", F.lit(1))).cast("int")
+    candidates = placed.join(split, ["size", "leaf"], "left").withColumn("part", part).drop("parts")
     queries = rows.where(F.col("vec_id") % every == 0).select("row", "vec_id", "vector")
-    turns = max(1, -(-queries.count() // block))
-    turn = F.pmod(F.xxhash64("row", F.lit(5)), F.lit(turns)).cast("int")
-    number = F.element_at(F.create_map(*[F.lit(v) for (s, c), n in blocks.items() for v in (s * 1000 + c, n)]), F.col("size") * 1000 + F.col("cell")) if blocks else F.lit(1)
-    candidates = cells.withColumn("block", F.pmod(F.xxhash64("row", F.lit(2)), number).cast("int"))
-    candidates = candidates.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1)))) if turns > 1 else candidates.withColumn("turn", F.lit(0))
-    keys = ["size", "cell", "block", "turn"]
+    keys = ["size", "leaf", "part", "turn"]
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(left) and len(right):
             size = int(left["size"].iloc[0])
-            part = Block(np.stack(left["vector"].to_numpy()), left["vec_id"].to_numpy(), left["row"].to_numpy(), index[size][0])
+            own = Block(np.stack(left["vector"].to_numpy()), left["vec_id"].to_numpy(), left["row"].to_numpy(), index[size].projection)
             for row, query_id, vector, floor in zip(right["row"], right["vec_id"], right["vector"], right["floor"], strict=True):
-                ids, products = part.search(np.asarray(vector), row, -np.inf if np.isnan(floor) else floor, most, stretch)
+                ids, products = own.search(np.asarray(vector), row, -np.inf if np.isnan(floor) else floor, most, stretch)
                 found.append(pd.DataFrame({"row": row, "query_id": query_id, "vec_id": ids, "score": products}))
         return pd.concat(found) if found else pd.DataFrame({c: [] for c in ("row", "query_id", "vec_id", "score")})
 
     def searched(asked: DataFrame) -> DataFrame:
-        visits = asked.mapInArrow(_placed(index, blocks, stretch), _VISIT)
-        visits = visits.select("size", "row", "vec_id", "vector", "floor", F.inline("places")).withColumn("turn", turn)
-        return candidates.groupBy(keys).cogroup(visits.groupBy(keys)).applyInPandas(search, "row long, query_id long, vec_id long, score double")
+        visits = staged(asked.mapInArrow(_visits(index, stretch), _VISIT), "visits")
+        turns = visits.groupBy("size", "leaf", "part").agg(F.ceil(F.count("*") / block).cast("int").alias("turns"))
+        turns = staged(turns, "turns")  # a row for each block that is visited
+        turn = F.pmod(F.xxhash64("row", F.lit(5)), F.col("turns")).cast("int")
+        right = visits.join(turns, keys[:3]).withColumn("turn", turn).drop("turns")
+        left = candidates.join(turns, keys[:3]).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).drop("turns")
+        return left.groupBy(keys).cogroup(right.groupBy(keys)).applyInPandas(search, "row long, query_id long, vec_id long, score double")
 
     order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     best = lambda found: found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)

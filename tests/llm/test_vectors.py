@@ -83,6 +83,30 @@ def test_neighbours(spark, vectors):
     assert not got and hit >= 0.9 * total
 
 
+def test_crowded_cells_are_cut_again(spark):
+    """Blocks stay small under a hot group of equal vectors and many rows; no candidate is lost."""
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(size=(2500, 16)), np.tile(rng.normal(size=16), (1200, 1))]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = neighbours.nearest(df, block=100).collect()
+    products = x.astype(float) @ x.astype(float).T
+    hit = total = 0
+    for q in range(0, len(x), 20):
+        mine = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
+        row = products[q].copy()
+        row[q] = -np.inf
+        best = np.lexsort((np.arange(len(x)), -row))[:20]
+        assert [m[0] for m in mine] == list(range(1, 21)) and all(m[2] == pytest.approx(row[m[1]]) for m in mine)
+        hit += len({m[1] for m in mine} & set(best.tolist()))
+        total += 20
+    assert hit >= 0.95 * total
+    index = {16: neighbours.Tree(neighbours.Projection(16, 10.0), neighbours.Cells(np.zeros((0, 10)), 1))}
+    placed = neighbours._grown(df.selectExpr("vec_id AS row", "vec_id", "cast(embedding AS array<double>) AS vector"), index, 100)
+    counts = placed.groupBy("leaf").count().collect()
+    assert sum(r["count"] for r in counts) == len(x)
+    assert all(r["count"] <= 100 * index[16].parts.get(r["leaf"], 1) for r in counts) and len(index[16].parts) == 1
+
+
 def test_recall_on_the_test_table(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.1')}/embeddings.parquet")
     rows = df.select("vec_id", "embedding").collect()
