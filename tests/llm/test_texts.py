@@ -314,6 +314,45 @@ def test_shards(docs):
         assert all(len(s) == 1 for s in homes.values())
 
 
+def plain_shards(rows, shards, light, sides):
+    """The k-d tree in memory: rows are (key, size, crc, coordinates as shares); sides(node, leaves) gives a row's place by id."""
+    def split(part, leaves, first):
+        if leaves == 1:
+            return {key: first for key, *_ in part}
+        if not part:
+            return {}
+        width = [max(r[3][d] for r in part) - min(r[3][d] for r in part) for d in range(3)]
+        d = width.index(max(width))
+        place = {r[0]: int(np.floor(r[3][d] * (1 << 20))) * (1 << 32) + r[2] for r in part}
+        wanted, before = max(1, round(sum(r[1] for r in part) * (leaves // 2) / leaves)), 0
+        for at in sorted(set(place.values())):
+            there = sum(r[1] for r in part if place[r[0]] == at)
+            if before + there >= wanted:
+                break
+            before += there
+        share = (wanted - before) / there
+        share = share if there > light else float(round(share))
+        left = [r for r in part if place[r[0]] < at or (place[r[0]] == at and sides[first, leaves, r[0]] < share)]
+        kept = {r[0] for r in left}
+        right = [r for r in part if r[0] not in kept]
+        return split(left, leaves // 2, first) | split(right, leaves - leaves // 2, first + leaves // 2)
+
+    return split(rows, shards, 0)
+
+
+@pytest.mark.parametrize("shards", [8, 5])
+def test_shards_equal_a_split_in_memory(documents, spark, shards):
+    measured = sharding._measured(documents, "doc_id", "text").collect()
+    low = [min(r[d] for r in measured) for d in sharding.DIMENSIONS]
+    wide = [max(r[d] for r in measured) - a for d, a in zip(sharding.DIMENSIONS, low, strict=True)]
+    rows = [(r["doc_id"], r["size"], r["text_crc32"], [(r[d] - a) / (w or 1.0) for d, a, w in zip(sharding.DIMENSIONS, low, wide, strict=True)]) for r in measured]
+    nodes = spark.createDataFrame([(first, leaves) for leaves in range(2, shards + 1) for first in range(shards)], "first int, leaves int")
+    hashed = nodes.join(documents.select("doc_id")).selectExpr("first", "leaves", "doc_id", "pmod(xxhash64(first, leaves, doc_id), 1 << 30) / double(1 << 30) AS side")
+    sides = {(r["first"], r["leaves"], r["doc_id"]): r["side"] for r in hashed.collect()}
+    want = plain_shards(rows, shards, sum(r[1] for r in rows) / shards / 100, sides)
+    assert {r["doc_id"]: r["shard"] for r in sharding.balanced_shards(documents, shards).collect()} == want
+
+
 def test_a_hot_text_is_spread_over_shards(spark):
     df = spark.range(4000).selectExpr("id as doc_id", "if(id % 2 = 0, repeat('same text ', 20), concat(repeat('own text', 25), id)) as text")
     sizes = Counter()
@@ -333,6 +372,46 @@ def test_quality(documents, spark, sf_dir):
     assert kept.columns == documents.columns and kept.count() == sum(r["predicted"] for r in got)
 
 
+def plain_features(passage: list[bytes], earlier: list[bytes]) -> dict[str, float]:
+    """Some figures of a passage, word by word; ``earlier``: the text's words before it."""
+    size, n = sum(map(len, passage)), len(passage)
+    kind = lambda codes: sum(b in codes for w in passage for b in w) / size
+    lower = [w.lower() for w in earlier + passage]
+    at = range(len(earlier), len(lower))
+    return {
+        **{name: kind(set(codes)) for name, codes in quality._KINDS.items()},
+        "length": size / n / 10,
+        "spread": max(0.0, sum(len(w) ** 2 for w in passage) / n - (size / n) ** 2) ** 0.5 / 10,
+        "longest": np.log1p(max(map(len, passage))) / 5,
+        "words": n / quality.PASSAGE,
+        "capital": sum(w[:1].isupper() for w in passage) / n,
+        "variety": len(set(lower[len(earlier) :])) / n,
+        "next": sum(i > 0 and lower[i] == lower[i - 1] for i in at) / n,
+    }
+
+
+def test_passages_and_scores_equal_plain_loops(documents, spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/labels.parquet")
+    model = quality.train(documents.select("doc_id", "text"), labels.select("doc_id", quality.F.col("quality").alias("label")))
+    got = {r["doc_id"]: r["score"] for r in quality.quality_scores(documents, labels).collect()}
+    p, at = model.parts, {name: i for i, name in enumerate(quality.FEATURES)}
+    for r in documents.orderBy("doc_id").limit(150).collect():
+        text = r["text"] or ""
+        words = [w.encode() for w in WORD.findall(text)]
+        bag = [words[i : i + quality.PASSAGE] for i in range(0, max(1, len(words)), quality.PASSAGE)]
+        x, bounds = quality.passage_features(quality.pa.array([text]))
+        assert bounds.tolist() == [0, len(bag)]
+        for i, passage in enumerate(bag):
+            for name, value in (plain_features(passage, words[: i * quality.PASSAGE]) if passage else {"empty": 1.0}).items():
+                assert x[i, at[name]] == pytest.approx(value, abs=1e-9), name
+        mixture, total = np.zeros(len(p["encode_0"])), 0.0
+        for row in (x - model.shift) / model.scale:
+            h = np.tanh(row @ p["encode"] + p["encode_0"])
+            weight = np.exp(np.sum(p["attend"] * np.tanh(h @ p["tanh"]) / (1 + np.exp(-(h @ p["sigmoid"])))))
+            mixture, total = mixture + weight * h, total + weight
+        assert got[r["doc_id"]] == pytest.approx(1 / (1 + np.exp(-(mixture / total @ p["score"] + p["score_0"]))), abs=1e-9)
+
+
 def test_attention_gradient_learns_one_bad_passage():
     rng = np.random.default_rng(1)
     bags = [rng.normal(size=(rng.integers(1, 6), len(quality.FEATURES))) for _ in range(400)]
