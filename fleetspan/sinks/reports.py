@@ -1,11 +1,12 @@
 """Report rows, documents and exports."""
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetspan import constants as C
 from fleetspan.functions import health, scalars
 from fleetspan.operators import serving
+from fleetspan.plans.shared import staged
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -188,19 +189,20 @@ def emit_alerts(latest: DataFrame, path: str, day: str | None = None) -> bool:
     """Write the alert rows of a day (today, unless given) to a table path; True if there were any.
 
     The table is partitioned by day. A day that is reported again replaces what it had, so a rerun
-    leaves the same rows; other days are not touched. Rows are counted as they are written.
+    leaves the same rows; other days are not touched. Where there are none nothing is written.
     """
-    seen = Observation()
-    rows = alerts_to_emit(latest).withColumn("report_day", F.lit(day).cast("date") if day else F.current_date())
+    rows = staged(alerts_to_emit(latest), "alerts")  # looked at twice
+    if rows.isEmpty():
+        return False
     (
-        rows.withColumn("reported_at", F.current_timestamp())
-        .observe(seen, F.count("*").alias("rows"))
+        rows.withColumn("report_day", F.lit(day).cast("date") if day else F.current_date())
+        .withColumn("reported_at", F.current_timestamp())
         .write.partitionBy("report_day")
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
     )
-    return seen.get["rows"] > 0
+    return True
 
 
 def gate(latest: DataFrame) -> DataFrame:
