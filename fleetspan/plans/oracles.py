@@ -237,6 +237,14 @@ def oracle_queries() -> dict[str, str]:
         "danger_preview": f"""SELECT * FROM ({_VIEW}) WHERE health_status = 'DANGER'
             ORDER BY dataset, engine_id, cycle LIMIT 20""",
         "maintenance_alerts": _ALERTS,
+        "chosen_engines": f"SELECT * FROM ({_VIEW}) WHERE dataset = 'FD002' AND engine_id IN (1, 5, 9)",
+        "present_columns": "SELECT dataset, engine_id, cycle, sensor_2, sensor_7 FROM readings_nulls",
+        "work_order_report": """SELECT dataset, engine_id AS "Engine ID", cycle AS "Last Cycle", CAST(rul_capped AS DOUBLE) AS "Estimated RUL", status AS "Status",
+            CASE status WHEN 'DANGER' THEN 'Ground engine. Schedule immediate inspection.'
+              WHEN 'WARNING' THEN 'Plan maintenance within 2 weeks.' ELSE 'Continue monitoring. No action needed.' END AS "Action",
+            CASE status WHEN 'DANGER' THEN 'status-danger' WHEN 'WARNING' THEN 'status-warning' ELSE 'status-ok' END AS style_class
+            FROM latest""",
+        "stamped_alerts": f"SELECT dataset, count(*) AS alerts, CAST(0 AS BIGINT) AS unstamped FROM ({_ALERTS}) GROUP BY dataset",
         "maintenance_alerts_sql": _ALERTS,
         "life_variability": """SELECT dataset, count(DISTINCT engine_id) AS total_engines,
             round(avg(max_cycle), 0) AS avg_engine_life, min(max_cycle) AS shortest_life,
@@ -472,7 +480,7 @@ def oracle_queries() -> dict[str, str]:
         "stream_kpis_daily": f"""SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, count(*) AS readings,
             count(*) FILTER (rul < 30) AS danger, {_r("avg(rul)")} AS avg_rul, min(rul) AS min_rul,
             count(DISTINCT engine_id) AS engines FROM feed GROUP BY 1""",
-        "stream_late_rows": """SELECT * FROM (VALUES ('alerts', CAST(0 AS BIGINT)), ('rolling', 0), ('kpis', 0)) t(stream, late_rows)""",
+        "stream_late_rows": """SELECT * FROM (VALUES ('rolling', CAST(0 AS BIGINT)), ('kpis', 0)) t(stream, late_rows)""",
     }
     plain = {
         "coerce_types": """SELECT event_id, TRY_CAST(CASE WHEN event_type = 'error' THEN event_type ELSE CAST(value AS VARCHAR) END AS DOUBLE) AS value,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fleetspan import constants as C
 from fleetspan.functions import health, scalars
 from fleetspan.models import forest, isolation, prepare
-from fleetspan.operators import analysis, history, lives, profiling, quantiles, serving
+from fleetspan.operators import analysis, history, lives, profiling, quantiles, serving, sets
 from fleetspan.plans import sql_surface
 from fleetspan.plans.binding import Fleet, as_feed, lineitem_fleet, state_of, table, with_gaps
 from fleetspan.plans.shared import new_path
@@ -376,13 +376,25 @@ def _stream(build: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Query
 
 
 def _late_rows(spark: SparkSession, feed: DataFrame, path: str) -> DataFrame:
-    """How many rows each stream set aside as late; none, where files come in time order."""
+    """How many rows the streams by engine and by interval set aside as late; none, where files come in time order."""
     found = []
-    for name, build in (("alerts", live.stream_alerts), ("rolling", live.stream_rolling), ("kpis", live.stream_kpi_parts)):
+    for name, build in (("rolling", live.stream_rolling), ("kpis", live.stream_kpi_parts)):
         build(spark, feed, f"{path}/{name}")
         late = live.late_rows(spark, f"{path}/{name}")
         found.append(late.agg(F.lit(name).alias("stream"), F.count("*").alias("late_rows")))
-    return found[0].union(found[1]).union(found[2])
+    return found[0].union(found[1])
+
+
+def _chosen_engines(fleet: Fleet) -> DataFrame:
+    """The IN list and the data set filter of the view; no engine chosen is an error."""
+    found = lives.rul_health(fleet.readings, fleet.engines, dataset="FD002", engine_ids=[1, 5, 9, 1])
+    return sets.require_rows(found, "no such engines")
+
+
+def _present_columns(fleet: Fleet) -> DataFrame:
+    """Optional columns are taken where the frame has them."""
+    frame = with_gaps(fleet.readings)
+    return frame.select(*READING, *sets.keep_present(frame, ["sensor_2", "sensor_99", "sensor_7", "is_anomaly"]))
 
 
 def all_queries() -> dict[str, Query]:
@@ -413,6 +425,14 @@ def all_queries() -> dict[str, Query]:
                 lives.rul_health(f.readings, f.engines).where("health_status = 'DANGER'"), READING, 20
             )
         ),
+        "chosen_engines": _on_fleet(_chosen_engines),
+        "present_columns": _on_fleet(_present_columns),
+        "work_order_report": _on_latest(serving.work_order_report),
+        "stamped_alerts": _on_fleet(
+            lambda f: analysis.maintenance_alerts(f.readings, f.engines)
+            .groupBy("dataset")
+            .agg(F.count("*").alias("alerts"), F.count_if(F.col("report_generated_at").isNull()).alias("unstamped"))
+        ),
         "maintenance_alerts": _on_fleet(
             lambda f: analysis.maintenance_alerts(f.readings, f.engines, stamped=False)
         ),
