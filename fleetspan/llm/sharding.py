@@ -30,6 +30,8 @@ SHARDS = 8
 BUCKETS = 512
 """Parts in which the rows of a shard are numbered."""
 BITS = 20
+STEPS = (42, 32, 21, 10, 0)
+"""Bits of a place (``BITS`` of the coordinate, 32 of the checksum) that are left out, step by step: 2,048 ranges of a node at most."""
 DIMENSIONS = ("wide", "ratio", "check")
 
 
@@ -84,11 +86,11 @@ def _splits(rows: DataFrame, nodes: list[_Node], spread: dict[str, tuple[float,
         wanted[i] = max(1, round(r["bytes"] * half[i] / node.leaves))
     rows = rows.withColumn("place", F.floor(coordinate * (1 << BITS)).cast("long") * (1 << 32) + F.col("text_crc32"))
     cuts = {i: (0, 0, 0) for i in wanted}
-    for shift in (32, 16, 0) if wanted else ():
+    for last, shift in zip((None, *STEPS), STEPS, strict=False) if wanted else ():
         inside, rest = F.lit(False), {}
         for i, (place, before, _) in cuts.items():
             rest[i] = wanted[i] - before
-            inside = inside | ((F.col("node") == i) & (F.lit(shift == 32) | (F.shiftright("place", shift + 16) == place)))
+            inside = inside | ((F.col("node") == i) & (F.lit(True) if last is None else F.shiftright("place", last) == place))
         found = _crossing(rows.where(inside), F.shiftright("place", shift), rest)
         cuts = {i: (place, cuts[i][1] + before, there) for i, (place, before, there) in found.items()}
     split = []
