@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetspan.llm.graph import components
-from fleetspan.llm.words import BASE, SECOND, fresh, mixed, pieces, row_key, run_hashes, signed, words_of
+from fleetspan.llm.words import BASE, SECOND, SMALL_PIECE, fresh, mixed, pieces, row_key, run_hashes, signed, words_of
 from fleetspan.plans.shared import staged
 
 SHINGLE = 5
@@ -94,7 +94,7 @@ def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _scan(k: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
+        for piece in pieces(batches, most=SMALL_PIECE):
             shingles, first = shingle_sets(piece.column("text"), k)
             size = np.diff(first)
             full = np.flatnonzero(size)
@@ -122,7 +122,7 @@ def _scan(k: int, bands: int, rows: int):
 
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
+        for piece in pieces(batches, most=SMALL_PIECE):
             shingles, first = shingle_sets(piece.column("text"), k)
             sets = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), signed(shingles))
             yield pa.record_batch([piece.column("node"), sets], names=["node", "shingles"])

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetspan.llm.words import BASE, LOWER, mixed, pieces, run_hashes, words_of
+from fleetspan.llm.words import BASE, LOWER, SMALL_PIECE, mixed, pieces, run_hashes, words_of
 from fleetspan.plans.shared import staged
 
 PASSAGE = 128
@@ -159,7 +159,7 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece in pieces(batches):
+    for piece in pieces(batches, most=SMALL_PIECE):
         x, bounds = passage_features(piece.column("text"))
         n = np.diff(bounds)
         lists = pa.ListArray.from_arrays(pa.array((bounds * len(FEATURES)).astype(np.int32)), pa.array(x.reshape(-1)))
@@ -183,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Attention
 
 def _scores(model: AttentionModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
+        for piece in pieces(batches, most=SMALL_PIECE):
             score = model.scores(*passage_features(piece.column("text")))
             rest = [c for c in piece.schema.names if c != "text"]
             yield pa.record_batch([*(piece.column(c) for c in rest), pa.array(score, pa.float64())], names=[*rest, "score"])
@@ -205,7 +205,7 @@ def good_documents(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", tex
     model = train(docs, labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")), sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, text):
+        for piece in pieces(batches, text, SMALL_PIECE):
             keep = model.scores(*passage_features(piece.column(piece.schema.get_field_index(text)))) >= threshold
             yield piece.filter(pa.array(keep))
 

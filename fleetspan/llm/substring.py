@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetspan.llm.words import BASE, SECOND, fresh, mixed, pieces, row_key, run_hashes, signed, words_of
+from fleetspan.llm.words import BASE, SECOND, SMALL_PIECE, fresh, mixed, pieces, row_key, run_hashes, signed, words_of
 from fleetspan.plans.shared import staged
 
 WINDOW = 35
@@ -93,7 +93,7 @@ def _scan(window: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"sha256": pa.string(), "others": places}
         schema = pa.schema([(c, kinds.get(c, pa.int64())) for c in ("edge", "path", "at", "others", "row", "doc_id", "n_words", "sha256")])
-        for piece in pieces(batches):
+        for piece in pieces(batches, most=SMALL_PIECE):
             words = words_of(piece.column("text"))
             docs = piece.num_rows
             none = pa.nulls(docs, pa.int64())
@@ -119,7 +119,7 @@ def _windows(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("at", pa.int64()), ("single", pa.bool_()), ("h1", pa.int64()), ("h2", pa.int64())]))
-        for piece in pieces(batches):
+        for piece in pieces(batches, most=SMALL_PIECE):
             words = words_of(piece.column("text"))
             value = words.hashes()
             second = mixed(value ^ SECOND)
@@ -146,7 +146,7 @@ def _windows(window: int):
 
 def _kept(window: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
+        for piece in pieces(batches, most=SMALL_PIECE):
             rows, removed, sha, kept = piece.column("row"), [], [], []
             for text, spans, more in zip(*(piece.column(c).to_pylist() for c in ("text", "spans", "found")), strict=True):
                 words = text.encode().split()

@@ -12,10 +12,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PIECE_BYTES = 2_000_000
+PIECE_BYTES, SMALL_PIECE = 2_000_000, 1_000_000
+"""Text that is worked on at once; less of it where many numbers stand for each word."""
 SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 """Bytes between words: blank and tab to carriage return."""
 LOWER = np.arange(256, dtype=np.uint8)
@@ -35,24 +37,27 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(8)
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(base, -1, 1 << 64)
-    up, down = np.full(n, base, np.uint64), np.full(n, inverse, np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(n: int, base: np.uint64 = BASE) -> tuple[np.ndarray, np.ndarray]:
-    """At least n powers of the base and of its inverse."""
-    return _powers(int(base), 1 << max(16, int(n).bit_length()))
+    """At least n powers of the base and of its inverse; the longest so far are kept."""
+    known = _POWERS.get(int(base))
+    if known is None or len(known[0]) < n:
+        size = 1 << max(16, int(n).bit_length())
+        inverse = pow(int(base), -1, 1 << 64)
+        up, down = np.full(size, base, np.uint64), np.full(size, inverse, np.uint64)
+        up[0] = down[0] = 1
+        known = _POWERS[int(base)] = np.cumprod(up, out=up), np.cumprod(down, out=down)
+    return known
 
 
 def run_hashes(values: np.ndarray, begin: np.ndarray, end: np.ndarray, base: np.uint64 = BASE) -> np.ndarray:
     """Hash of values[begin:end] for each pair of bounds."""
     up, down = powers(len(values), base)
     sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], out=sums[1:])
+    np.multiply(values, up[: len(values)], out=sums[1:])
+    np.cumsum(sums[1:], out=sums[1:])
     return mixed((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
 
 
@@ -115,11 +120,11 @@ def words_of(texts: pa.Array, between: np.ndarray = SPACES, lower: bool = False)
     return Words(data, offsets, start, end, doc, np.searchsorted(start, offsets))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches between rows so that each piece holds a few MB of text (one row at least)."""
     for batch in batches:
-        lengths = np.diff(text_bytes(batch.column(batch.schema.get_field_index(text)))[1])
-        group = (np.cumsum(lengths) - lengths) // PIECE_BYTES
+        lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0).to_numpy()
+        group = (np.cumsum(lengths) - lengths) // most
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), batch.num_rows] if batch.num_rows else []
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(a, b - a)
