@@ -1,7 +1,9 @@
 """Column profiles, correlations and histograms."""
 
-from itertools import combinations
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,28 +114,80 @@ def rul_stats(readings: DataFrame, rows_per_engine: int | None = None) -> DataFr
     )
 
 
+_PAIR_SCHEMA = "a int, b int, n double, mx double, my double, cxx double, cyy double, cxy double"
+
+
+def _pair_moments_of_task(columns: list[str]):
+    """Counts, means and centred products of all column pairs, over one task's rows."""
+
+    def accumulate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        centre = total = None
+        for batch in batches:
+            if batch.empty:
+                continue
+            x = batch[columns].to_numpy(dtype=float)
+            if centre is None:
+                centre = np.nan_to_num(batch[columns].astype(float).mean().to_numpy())
+            known = ~np.isnan(x)
+            x = np.where(known, x - centre, 0.0)
+            k = known.astype(float)
+            sx, sxx = x.T @ k, (x * x).T @ k
+            part = np.stack([k.T @ k, sx, sx.T, sxx, sxx.T, x.T @ x])
+            total = part if total is None else total + part
+        if total is None:
+            return
+        n, sx, sy, sxx, syy, sxy = total
+        rows = np.maximum(n, 1.0)
+        a, b = np.indices(n.shape)
+        cells = {
+            "a": a,
+            "b": b,
+            "n": n,
+            "mx": centre[:, None] + sx / rows,
+            "my": centre[None, :] + sy / rows,
+            "cxx": sxx - sx * sx / rows,
+            "cyy": syy - sy * sy / rows,
+            "cxy": sxy - sx * sy / rows,
+        }
+        yield pd.DataFrame({name: matrix.ravel() for name, matrix in cells.items()})
+
+    return accumulate
+
+
 def pair_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """(sensor_a, sensor_b, r) of every column pair, constant columns left out.
 
-    One aggregate finds the columns that vary, a second one has a merged correlation for each pair of
-    them, so a task sends six numbers a pair. A missing value drops a row from the pairs it concerns,
-    not from the others.
+    Each task reduces its rows to one small matrix of moments with matrix
+    products, and only those are exchanged: columns squared rows per task. A
+    missing value drops a row from the pairs it concerns, not from the others.
     """
+    columns = list(columns)
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    spread = values.agg(*[F.stddev_samp(c).alias(c) for c in columns]).first()
-    useful = [c for c in columns if spread[c] is not None and spread[c] >= C.CONSTANT_BELOW_STD]
-    pairs = list(combinations(useful, 2))
-    if not pairs:
-        return df.sparkSession.createDataFrame([(c, c, 1.0) for c in useful], "sensor_a string, sensor_b string, r double")
-    wide = values.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-
-    def cell(a: str, b: str, r: Column) -> Column:
-        return F.struct(F.lit(a).alias("sensor_a"), F.lit(b).alias("sensor_b"), r.alias("r"))
-
-    cells = [cell(c, c, F.lit(1.0)) for c in useful]
-    for i, (a, b) in enumerate(pairs):
-        cells += [cell(a, b, F.col(f"r{i}")), cell(b, a, F.col(f"r{i}"))]
-    return wide.select(F.inline(F.array(*cells))).where("r IS NOT NULL")
+    n, mx, my = F.col("n"), F.col("mx"), F.col("my")
+    merged = (
+        values.mapInPandas(_pair_moments_of_task(columns), _PAIR_SCHEMA)
+        .groupBy("a", "b")
+        .agg(
+            F.sum(n).alias("rows"),
+            F.sum(n * mx).alias("sx"),
+            F.sum(n * my).alias("sy"),
+            F.sum(F.col("cxx") + n * mx * mx).alias("sxx"),
+            F.sum(F.col("cyy") + n * my * my).alias("syy"),
+            F.sum(F.col("cxy") + n * mx * my).alias("sxy"),
+        )
+        .where("rows > 1")
+    )
+    rows, sx, sy = F.col("rows"), F.col("sx"), F.col("sy")
+    spread_a = F.col("sxx") - sx * sx / rows
+    spread_b = F.col("syy") - sy * sy / rows
+    joint = F.col("sxy") - sx * sy / rows
+    least = F.lit(C.CONSTANT_BELOW_STD**2) * (rows - 1)
+    names = F.array(*[F.lit(c) for c in columns])
+    return merged.where((spread_a >= least) & (spread_b >= least)).select(
+        names[F.col("a")].alias("sensor_a"),
+        names[F.col("b")].alias("sensor_b"),
+        (joint / F.sqrt(spread_a * spread_b)).alias("r"),
+    )
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] = C.SENSORS, digits: int = 2) -> DataFrame:
