@@ -3,11 +3,10 @@
 ``lineitem_fleet`` deals blocks of thirty order numbers to engines, one, two or
 three blocks each, so lives differ. Every line item is a reading: its cycle is its
 place in the engine's ship order, and a life is the engine's number of readings.
-Cycles are numbered inside each engine and ship month, after the counts of the
-months before.
 
 Readings are laid out once for an application and a state of the table: bucketed by
-engine and sorted by cycle, with the life on every row. Windows, joins and latest
+engine and sorted by cycle, with the life on every row. The number of buckets grows with the
+rows, so that a task of a later job sorts and holds a bounded share of them. Windows, joins and latest
 rows by engine then need no exchange, truncated histories are a filter, and the
 longest life is a measured bound on the rows of one engine.
 """
@@ -24,6 +23,8 @@ from fleetspan.plans.shared import new_path
 from fleetspan.sinks.tables import write_by_engine
 
 MIN_TEST_CYCLES = 31
+BUCKET_ROWS = 250_000
+"""Readings of a bucket, about, where the session's own number of partitions would make larger ones."""
 
 
 class Fleet:
@@ -86,8 +87,10 @@ def _laid_out(app: str, sf_dir: str, state: str) -> tuple[str, int]:
     """The table of all readings, each with the ``life`` of its engine, and the longest life."""
     spark = SparkSession.active()
     name = f"readings_{uuid4().hex}"
-    readings = _readings(table(spark, sf_dir, "lineitem"))
-    longest = write_by_engine(readings, name, new_path(spark, "readings"), {"longest": F.max("life")})["longest"]
+    lineitem = table(spark, sf_dir, "lineitem")
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lineitem.count() // BUCKET_ROWS))
+    readings = _readings(lineitem, buckets)
+    longest = write_by_engine(readings, name, new_path(spark, "readings"), {"longest": F.max("life")}, buckets)["longest"]
     return name, longest or 0
 
 
@@ -121,10 +124,10 @@ def _true_rul(engine_id):
     return (7 + (engine_id * 29) % 139).cast("int")
 
 
-def _readings(lineitem: DataFrame) -> DataFrame:
+def _readings(lineitem: DataFrame, buckets: int) -> DataFrame:
+    """Narrow items are placed by engine once; cycles, lives and all columns then need no exchange."""
     items = lineitem.select(
         _engine_id().alias("engine_id"),
-        F.date_trunc("month", "l_shipdate").alias("month"),
         "l_shipdate",
         "l_orderkey",
         "l_suppkey",
@@ -134,22 +137,12 @@ def _readings(lineitem: DataFrame) -> DataFrame:
         F.col("l_quantity").alias("q"),
         F.col("l_discount").alias("d"),
         F.col("l_tax").alias("t"),
-    )
-    months = items.groupBy("engine_id", "month").count()
-    earlier = Window.partitionBy("engine_id").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
-    months = months.select(
-        "engine_id",
-        "month",
-        F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("ahead"),
-        F.sum("count").over(Window.partitionBy("engine_id")).cast("int").alias("life"),
-    )
-    in_ship_order = Window.partitionBy("engine_id", "month").orderBy(
-        "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "p"
-    )
+    ).repartition(buckets, "engine_id")
+    of_engine = Window.partitionBy("engine_id")
+    in_ship_order = of_engine.orderBy("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "p")
     cycles = (
-        items.withColumn("nth", F.row_number().over(in_ship_order))
-        .join(months, ["engine_id", "month"])
-        .withColumn("cycle", (F.col("ahead") + F.col("nth")).cast("int"))
+        items.withColumn("cycle", F.row_number().over(in_ship_order))
+        .withColumn("life", F.count("*").over(of_engine).cast("int"))
         .withColumn("c", F.col("cycle").cast("double"))
     )
     q, p, d, t, c = (F.col(name) for name in "qpdtc")

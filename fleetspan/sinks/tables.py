@@ -94,19 +94,20 @@ def write_readings(df: DataFrame, path: str) -> None:
     )
 
 
-def write_by_engine(df: DataFrame, table: str, path: str, measures: dict[str, Column] | None = None) -> dict:
+def write_by_engine(df: DataFrame, table: str, path: str, measures: dict[str, Column] | None = None, placed: int | None = None) -> dict:
     """A new table at ``path``, bucketed by engine and sorted by cycle; what is measured is taken while it is written.
 
     A bucket is one task of later jobs: as many as a shuffle of this session has. By the id alone, so
-    that a filter on one engine reads one bucket (Spark prunes by a single column); it serves (dataset, engine) too.
+    that a filter on one engine reads one bucket (Spark prunes by a single column); it serves (dataset, engine) too. Rows
+    that were repartitioned by ``engine_id`` into ``placed`` partitions before are written as they stand, a bucket each.
     """
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = placed or int(spark.conf.get("spark.sql.shuffle.partitions"))
     seen = Observation()
     measures = {name: column.alias(name) for name, column in (measures or {"rows": F.count("*")}).items()}
     (
-        df.observe(seen, *measures.values())
-        .repartition(buckets, "engine_id")
+        (df if placed else df.repartition(buckets, "engine_id"))
+        .observe(seen, *measures.values())
         .write.bucketBy(buckets, "engine_id")
         .sortBy(*C.KEYS, "cycle")
         .option("path", path)

@@ -3,6 +3,7 @@
 import re
 
 from fleetspan.operators import history, lives, serving
+from fleetspan.plans import binding
 from fleetspan.plans.registry import all_queries
 from fleetspan.plans.shared import staged
 
@@ -70,3 +71,14 @@ def test_no_query_uses_a_cartesian_product(spark, sf_dir):
     for name in ("minmax_scaled", "residual_histogram", "rul_histogram_equal", "rank_longevity"):
         text = plan(all_queries()[name](spark, sf_dir))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_readings_are_placed_once_in_buckets_of_bounded_size(spark, sf_dir, tmp_path, monkeypatch):
+    """One exchange of narrow items lays the readings out, and buckets grow with the rows."""
+    text = plan(binding._readings(binding.table(spark, sf_dir, "lineitem"), 30))
+    assert text.count("Exchange") == 1 and "sensor" not in text[text.index("Exchange") :]
+    monkeypatch.setattr(binding, "BUCKET_ROWS", 200)
+    (tmp_path / "lineitem.parquet").symlink_to(f"{sf_dir}/lineitem.parquet")
+    readings = binding.lineitem_fleet(spark, str(tmp_path)).readings
+    assert f"out of {-(-readings.count() // 200)}" in plan(readings.where("engine_id = 3").groupBy("engine_id").count())
+    assert readings.count() == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
