@@ -7,6 +7,8 @@ from fleetspan import constants as C
 from fleetspan.functions import health
 from fleetspan.operators import history
 
+EDGE = 1e-12
+
 
 def engine_lives(readings: DataFrame) -> DataFrame:
     """Last cycle per engine: the ``engines`` table of a set of readings."""
@@ -108,7 +110,9 @@ def baseline_breach(
     """Flag rows whose rolling mean has left the engine's early-life band.
 
     The band is the mean and sample deviation over the first
-    ``baseline_cycles``, aggregated per engine and joined back.
+    ``baseline_cycles``, aggregated per engine and joined back. A mean on the
+    band's edge has not left it; sums in another order move it by their last digits,
+    so what is nearer to the edge than ``EDGE`` of the mean counts as on it.
     """
     baseline = (
         readings.where(F.col("cycle") <= baseline_cycles)
@@ -126,7 +130,7 @@ def baseline_breach(
     )
     outside = [
         F.coalesce(
-            F.abs(F.col(f"{s}_rolling_avg") - F.col(f"{s}_mu")) > sigmas * F.col(f"{s}_sd"),
+            F.abs(F.col(f"{s}_rolling_avg") - F.col(f"{s}_mu")) - sigmas * F.col(f"{s}_sd") > EDGE * F.abs(F.col(f"{s}_mu")),
             F.lit(False),
         ).alias(f"{s}_breach")
         for s in sensors

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from fleetspan.operators import history
+from fleetspan.operators import history, lives
 
 
 @pytest.fixture(scope="module")
@@ -84,3 +84,14 @@ def test_rul_properties(fleet):
         F.count_if(F.col("RUL") + F.col("cycle") != F.col("max_cycle")).alias("off"),
     ).first()
     assert (row["least"], row["most"], row["ratio"], row["off"]) == (0, 125, 1.0, 0)
+
+
+def test_a_mean_on_the_edge_of_the_band_has_not_left_it(spark):
+    """Two readings: the first is half their distance from the mean, and so is the edge at 1 / sqrt(2) deviations."""
+    pairs = [(e, 554 - (e % 97) / 1000, 554 - (e % 89) / 100) for e in range(2_000)]
+    rows = [(e, "FD001", cycle, v) for e, *pair in pairs for cycle, v in enumerate(pair, 1)]
+    frame = spark.createDataFrame(rows, "engine_id long, dataset string, cycle int, sensor_7 double")
+    out = lives.baseline_breach(frame, sensors=("sensor_7",), sigmas=2**-0.5, rows_per_engine=2)
+    assert out.where("cycle = 1 AND sensor_7_breach").isEmpty()
+    nearer = lives.baseline_breach(frame, sensors=("sensor_7",), sigmas=2**-0.5 - 1e-6, rows_per_engine=2)
+    assert nearer.where("cycle = 1 AND sensor_7_breach").count() == sum(a != b for _, a, b in pairs)
