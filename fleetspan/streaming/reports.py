@@ -80,32 +80,32 @@ def stream_rolling(
 
 
 def kpi_parts(feed: DataFrame) -> DataFrame:
-    """What the KPIs of a refresh interval are made of; parts of one interval can be merged."""
+    """What the KPIs of a refresh interval are made of, engine by engine; parts of one interval can be merged."""
     return (
-        feed.groupBy(F.window("ts", WINDOW).alias("w"))
+        feed.groupBy(F.window("ts", WINDOW).alias("w"), "engine_id")
         .agg(
             F.count("*").alias("readings"),
             F.count_if(health.is_danger(F.col("rul"))).alias("danger"),
             F.sum("rul").alias("sum_rul"),
             F.count("rul").alias("known"),
             F.min("rul").alias("min_rul"),
-            F.hll_sketch_agg("engine_id").alias("engines"),
         )
-        .select(F.col("w.start").alias("window_start"), "readings", "danger", "sum_rul", "known", "min_rul", "engines")
+        .select(F.col("w.start").alias("window_start"), "engine_id", "readings", "danger", "sum_rul", "known", "min_rul")
     )
 
 
 def merged_kpis(parts: DataFrame, interval: str | None = None) -> DataFrame:
-    """Fleet KPIs of each refresh interval, or of a longer one; engines by the union of the sketches."""
+    """Fleet KPIs of each refresh interval, or of a longer one; every engine counts once in an interval."""
     start = F.window("window_start", interval)["start"] if interval else F.col("window_start")
-    merged = parts.groupBy(start.alias("window_start")).agg(
+    sums = [F.sum(c).alias(c) for c in ("readings", "danger", "sum_rul", "known")]
+    of_engine = parts.groupBy(start.alias("window_start"), "engine_id").agg(*sums, F.min("min_rul").alias("min_rul"))
+    return of_engine.groupBy("window_start").agg(
         F.sum("readings").alias("readings"),
         F.sum("danger").alias("danger"),
         F.try_divide(F.sum("sum_rul"), F.sum("known")).alias("avg_rul"),
         F.min("min_rul").alias("min_rul"),
-        F.hll_sketch_estimate(F.hll_union_agg("engines")).alias("engines"),
+        F.count("engine_id").alias("engines"),
     )
-    return merged
 
 
 def kpi_windows(feed: DataFrame) -> DataFrame:
@@ -114,12 +114,12 @@ def kpi_windows(feed: DataFrame) -> DataFrame:
 
 
 def stream_kpi_parts(spark: SparkSession, feed: DataFrame, path: str) -> DataFrame:
-    """Mergeable parts of the KPIs, one for each interval that a batch has rows in.
+    """Mergeable parts of the KPIs, one for each interval and engine that a batch has rows of.
 
     An interval gets no more parts once the watermark has passed it: what comes after is late.
     No state is kept for intervals.
     """
-    columns = "window_start timestamp, readings bigint, danger bigint, sum_rul double, known bigint, min_rul double, engines binary"
+    columns = "window_start timestamp, engine_id bigint, readings bigint, danger bigint, sum_rul double, known bigint, min_rul double"
     _run(spark, feed, path, 1, columns, kpi_parts, "behind")
     return spark.read.parquet(f"{path}/table").drop("batch")
 

@@ -131,6 +131,15 @@ def test_sketches_of_intervals_merge(spark):
     assert one == 40
 
 
+def test_engines_of_an_interval_are_counted_exactly(spark):
+    feed = spark.range(90_000).selectExpr("id % 30000 AS engine_id", "timestamp'2024-01-01' + make_dt_interval(0, 0, 0, id / 10) AS ts", "double(id) AS rul")
+    half = feed.where("rul < 45000")
+    parts = live.kpi_parts(half).union(live.kpi_parts(feed.where("rul >= 45000")))
+    day = live.merged_kpis(parts, "1 day").first()
+    assert (day["readings"], day["engines"], day["min_rul"]) == (90_000, 30_000, 0.0)
+    assert {r["engines"] for r in live.kpi_windows(feed).collect()} == {3000}
+
+
 def test_alerts(spark, folder, batch, tmp_path):
     out = live.stream_alerts(spark, stream(spark, folder), str(tmp_path))
     w = Window.partitionBy("engine_id").orderBy("ts")
