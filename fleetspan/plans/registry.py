@@ -121,7 +121,7 @@ def _label_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _feature_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "csv")
     features = _features(lineitem_fleet(spark, sf_dir))
-    reports.export_csv(features.select(*C.FEATURE_SCHEMA.names), path)
+    reports.export_csv(features.select(*C.FEATURE_SCHEMA.names), path, "gzip")
     back = stored.read_features(spark, path, "csv")
     return back.select(
         "dataset",

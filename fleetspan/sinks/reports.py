@@ -9,8 +9,9 @@ from fleetspan.operators import serving
 from fleetspan.plans.shared import staged
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).mode("overwrite").csv(path)
+def export_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """CSV with a header; ``compression`` as Spark names it, read back without being told."""
+    df.write.option("header", True).option("compression", compression).mode("overwrite").csv(path)
 
 
 def stamped_name(spark: SparkSession, prefix: str = "maintenance_report") -> str:

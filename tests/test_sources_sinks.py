@@ -193,3 +193,11 @@ def test_view_and_table_function(spark, fleet):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared.new_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_exported_csv_can_be_compressed(spark, tmp_path):
+    df = spark.range(500).selectExpr("id", "id / 7 AS x", "if(id % 9 = 0, NULL, 'a,b') AS s")
+    reports.export_csv(df, str(tmp_path / "csv"), "gzip")
+    assert all(f.name.endswith(".csv.gz") for f in (tmp_path / "csv").glob("part-*"))
+    back = spark.read.csv(str(tmp_path / "csv"), header=True, schema=df.schema)
+    assert back.exceptAll(df).isEmpty() and back.count() == 500
