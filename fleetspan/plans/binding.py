@@ -82,13 +82,18 @@ def state_of(spark: SparkSession, path: str) -> str:
     return str(files.agg(F.sum(F.col("h").cast("decimal(38,0)"))).first()[0])
 
 
+def _buckets(lineitem: DataFrame) -> int:
+    placed = int(lineitem.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(placed, -(-lineitem.count() // BUCKET_ROWS))
+
+
 @cache
 def _laid_out(app: str, sf_dir: str, state: str) -> tuple[str, int]:
     """The table of all readings, each with the ``life`` of its engine, and the longest life."""
     spark = SparkSession.active()
     name = f"readings_{uuid4().hex}"
     lineitem = table(spark, sf_dir, "lineitem")
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lineitem.count() // BUCKET_ROWS))
+    buckets = _buckets(lineitem)
     readings = _readings(lineitem, buckets)
     longest = write_by_engine(readings, name, new_path(spark, "readings"), {"longest": F.max("life")}, buckets)["longest"]
     return name, longest or 0
@@ -110,6 +115,12 @@ def lineitem_fleet(spark: SparkSession, sf_dir: str) -> Fleet:
     )
 
 
+def passing_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All readings for a query that scans them once: placed by engine in as many parts, but not laid out."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    return _readings(lineitem, _buckets(lineitem)).drop("life")
+
+
 def _dataset(engine_id):
     return F.concat(F.lit("FD00"), (1 + engine_id % 4).cast("string"))
 

@@ -12,7 +12,7 @@ from fleetspan.functions import health, scalars
 from fleetspan.models import forest, isolation, prepare
 from fleetspan.operators import analysis, history, lives, profiling, quantiles, serving, sets
 from fleetspan.plans import sql_surface
-from fleetspan.plans.binding import Fleet, as_feed, lineitem_fleet, state_of, table, with_gaps
+from fleetspan.plans.binding import Fleet, as_feed, lineitem_fleet, passing_readings, state_of, table, with_gaps
 from fleetspan.plans.shared import new_path
 from fleetspan.sinks import reports, tables
 from fleetspan.sources import pages, text
@@ -93,7 +93,7 @@ def _repeated_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "text")
-    readings = lineitem_fleet(spark, sf_dir).readings
+    readings = passing_readings(spark, sf_dir)
     line = F.concat(F.concat_ws(" ", *[F.col(c).cast("string") for c in C.RAW_COLUMNS]), F.lit("  "))
     file_name = F.concat(F.lit("train_"), F.col("dataset"), F.lit(".txt"))
     readings.select(line.alias("value"), file_name.alias("name")).write.partitionBy("name").text(path)

@@ -1,6 +1,9 @@
 """Readers for headerless sensor text and one-column label files."""
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetspan import constants as C
@@ -18,24 +21,30 @@ def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
         )
-        .where(F.length(F.trim("value")) > 0)
+        .where(F.trim("value") != "")
     )
 
 
+def _fields(line: Column) -> Column:
+    """The words of a line; one with nothing but single blanks between them is split without a regular expression."""
+    trimmed = F.trim(line)
+    runs = reduce(or_, [F.contains(trimmed, F.lit(s)) for s in ("  ", "\t", "\n", "\x0b", "\f", "\r")])
+    return F.when(runs, scalars.words(line)).otherwise(F.split(trimmed, " "))
+
+
 def read_readings(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Whitespace-separated sensor lines as typed columns, tagged by dataset.
 
     Lines are split with the file, so a large file is read by many tasks.
     Trailing blanks are ignored; a field that is no number becomes null.
     """
-    fields = scalars.words(F.regexp_replace("value", r"\s+$", ""))
     cells = [
         F.try_element_at("fields", F.lit(i + 1)).try_cast(field.dataType).alias(field.name, metadata=field.metadata)
         for i, field in enumerate(C.RAW_SCHEMA.fields)
     ]
     return (
         _lines(spark, paths)
-        .select(F.regexp_extract("file", _DATASET, 1).alias("dataset"), fields.alias("fields"))
+        .select(F.regexp_extract("file", _DATASET, 1).alias("dataset"), _fields(F.col("value")).alias("fields"))
         .select("dataset", *cells)
     )
 

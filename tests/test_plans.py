@@ -82,3 +82,11 @@ def test_readings_are_placed_once_in_buckets_of_bounded_size(spark, sf_dir, tmp_
     readings = binding.lineitem_fleet(spark, str(tmp_path)).readings
     assert f"out of {-(-readings.count() // 200)}" in plan(readings.where("engine_id = 3").groupBy("engine_id").count())
     assert readings.count() == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+
+
+def test_the_text_round_trip_lays_nothing_out(spark, sf_dir, tmp_path, monkeypatch):
+    """Its readings are scanned once, so they are made as they are written."""
+    monkeypatch.setattr(binding, "write_by_engine", None)
+    (tmp_path / "lineitem.parquet").symlink_to(f"{sf_dir}/lineitem.parquet")
+    back = all_queries()["text_round_trip"](spark, str(tmp_path))
+    assert back.count() == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()

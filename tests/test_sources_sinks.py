@@ -31,6 +31,18 @@ def test_reads_every_dataset_found(spark, folder):
     assert df.schema["sensor_2"].metadata["unit"] == "°R"
 
 
+def test_lines_of_single_blanks_need_no_regular_expression(spark, tmp_path):
+    """Only lines with other whitespace are split by one; both give the same fields."""
+    fields = ["3", "7", *[str(0.1 + 0.2 * i) for i in range(24)]]
+    lines = [" ".join(fields), " ".join(fields) + "  ", "  " + "  ".join(fields), "\t".join(fields) + " \t", " \t ".join(fields), "3 7 x \x0b"]
+    (tmp_path / "train_FD002.txt").write_bytes("\n".join([*lines, "   ", ""]).encode())
+    df = text.read_readings(spark, str(tmp_path / "train_FD002.txt"))
+    whole = ("FD002", 3, 7, *[float(x) for x in fields[2:]])
+    assert sorted(map(tuple, df.collect()), key=str) == sorted([*[whole] * 5, ("FD002", 3, 7, *[None] * 24)], key=str)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_replace" not in plan and "contains" in plan.lower()
+
+
 def test_label_lines_are_numbered_across_splits(spark, folder):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
